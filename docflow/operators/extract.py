@@ -14,7 +14,6 @@ them for other formats and runs over Arrow batches.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -73,11 +72,10 @@ APP = {
 
 # Labels the built-in rules look for, where they differ from the field name.
 LABELS = {
-    "vendor": ["Vendor"], "vendor_name": ["Vendor"], "VendorName": ["Vendor"],
-    "customer": ["Customer"], "InvoiceNo": ["Invoice Number"], "invoice_id": ["Invoice Number"],
-    "PurchaseOrderNo": ["PO Number"], "InvoiceDate": ["Invoice Date"], "InvoiceSubtotal": ["Subtotal"],
-    "InvoiceTaxAmount": ["Tax Amount"], "tax_amount": ["Tax Amount"], "InvoiceTotal": ["Total Amount"],
-    "total": ["Total Amount"], "DepositCreditAmount": ["Deposit"], "shipping": ["Shipping Amount"],
+    "vendor_name": "Vendor", "VendorName": "Vendor", "InvoiceNo": "Invoice Number",
+    "PurchaseOrderNo": "PO Number", "InvoiceDate": "Invoice Date", "InvoiceSubtotal": "Subtotal",
+    "InvoiceTaxAmount": "Tax Amount", "InvoiceTotal": "Total Amount", "total": "Total Amount",
+    "DepositCreditAmount": "Deposit", "shipping": "Shipping Amount",
 }
 # Cells of a line row: "# number | description | code | quantity | unit | price | amount | tax | note".
 CELLS = {
@@ -93,39 +91,53 @@ def properties(fields: dict) -> dict:
     return inner.get("properties", inner) if isinstance(inner, dict) else fields
 
 
-def _label_value(text: Column, field: str) -> Column:
-    labels = LABELS.get(field, [field.replace("_", " ")])
-    names = "|".join(re.escape(name) for name in labels)
-    found = F.regexp_extract(text, rf"(?im)^[ \t]*(?:{names})[ \t]*:[ \t]*([^\r\n]*?)[ \t]*$", 1)
-    return F.when(found != "", found)
+# A labelled line, and a line row after its mark.
+LABELLED = r"(?m)^[ \t]*([^:|#\r\n]+?)[ \t]*:[ \t]*([^\r\n]*?)[ \t]*$"
+LINE_ROW = r"(?m)^#([^\r\n]*)$"
 
 
-def _cell(row: Column, field: str) -> Column:
-    cell = F.trim(F.get(F.split(row, r"\|"), F.lit(CELLS[field])))
-    return F.when(cell != "", cell)
+def read_text(df: DataFrame, text_col: str) -> DataFrame:
+    """Adds the labels, their values and the cells of the line rows, each read once."""
+    text = F.col(text_col)
+    rows = F.regexp_extract_all(text, F.lit(LINE_ROW), F.lit(1))
+    return df.withColumns({
+        "_labels": F.regexp_extract_all(F.lower(text), F.lit(LABELLED), F.lit(1)),
+        "_values": F.regexp_extract_all(text, F.lit(LABELLED), F.lit(2)),
+        "_cells": F.transform(rows, lambda row: F.split(row, r"\|")),
+    })
 
 
-def _cells(rows: Column, field: str) -> Column:
-    return F.transform(rows, lambda row: _cell(row, field))
+def _label_value(field: str) -> Column:
+    """Value of the first line that carries the label."""
+    label = LABELS.get(field, field.replace("_", " ")).lower()
+    # Position 0, no such label, gives index -1 and with it NULL.
+    return F.nullif(F.get("_values", F.array_position("_labels", label).cast("int") - 1), F.lit(""))
 
 
-def _records(rows: Column, fields: list[str]) -> Column:
-    return F.transform(rows, lambda row: F.struct(*[_cell(row, name).alias(name) for name in fields]))
+def _cell(cells: Column, field: str) -> Column:
+    return F.nullif(F.trim(F.get(cells, F.lit(CELLS[field]))), F.lit(""))
 
 
-def rule_columns(text: Column, fields: dict) -> list[Column]:
-    """One native column per declared field."""
-    rows = F.regexp_extract_all(text, F.lit(r"(?m)^#([^\r\n]*)$"), F.lit(1))
+def _column(field: str) -> Column:
+    return F.transform("_cells", lambda cells: _cell(cells, field))
+
+
+def _records(fields: list[str]) -> Column:
+    return F.transform("_cells", lambda cells: F.struct(*[_cell(cells, name).alias(name) for name in fields]))
+
+
+def rule_columns(fields: dict) -> list[Column]:
+    """One native column per declared field, over the columns of ``read_text``."""
     out = []
     for name, spec in properties(fields).items():
         if isinstance(spec, list):
-            value = _records(rows, list(spec[0]))
+            value = _records(list(spec[0]))
         elif isinstance(spec, dict) and "properties" in spec:
-            value = F.struct(*[_cells(rows, key).alias(key) for key in spec["properties"]])
+            value = F.struct(*[_column(key).alias(key) for key in spec["properties"]])
         elif isinstance(spec, dict) and spec.get("type") == "array":
-            value = _cells(rows, name)
+            value = _column(name)
         else:
-            value = _label_value(text, name)
+            value = _label_value(name)
         out.append(value.alias(name))
     return out
 
@@ -144,7 +156,7 @@ def extract_fields(
         return _with_worker(df, text_col, fields, worker, partitions)
     names = list(properties(fields))
     scalars = [n for n, s in properties(fields).items() if isinstance(s, str)]
-    found = df.select("*", F.struct(*rule_columns(F.col(text_col), fields)).alias("_f"))
+    found = read_text(df, text_col).withColumn("_f", F.struct(*rule_columns(fields)))
     probe = [F.col(f"_f.{n}") for n in (scalars or names)]
     message = (
         F.when(F.col(text_col).isNull(), "no text")
@@ -219,8 +231,8 @@ def compare_schemas(df: DataFrame, text_col: str, approaches: dict[str, dict]) -
 def schema_agreement(df: DataFrame, text_col: str, a: dict, b: dict) -> DataFrame:
     """Per shared field: in how many documents both sets found it, and found the same."""
     shared = [n for n in properties(a) if n in properties(b)]
-    one = df.select(
-        F.struct(*rule_columns(F.col(text_col), a)).alias("a"), F.struct(*rule_columns(F.col(text_col), b)).alias("b")
+    one = read_text(df, text_col).select(
+        F.struct(*rule_columns(a)).alias("a"), F.struct(*rule_columns(b)).alias("b")
     )
     pairs = F.array(*[
         F.struct(F.lit(n).alias("field"), F.col(f"a.{n}").cast("string").alias("x"), F.col(f"b.{n}").cast("string").alias("y"))

@@ -173,17 +173,15 @@ def latest_invoices(inv: DataFrame, null_keys: str = "keep") -> DataFrame:
     fills a third of the table does not reach one reducer whole. ``keep`` leaves rows
     without a number alone; ``collapse`` treats them as one group.
     """
-    newest = Window.partitionBy("invoice_number").orderBy(
+    if null_keys not in ("keep", "collapse"):
+        raise ValueError("null_keys is 'keep' or 'collapse'")
+    # With "keep" a row without a number is a group of its own.
+    own = F.when(F.col("invoice_number").isNull(), F.col("invoice_id")) if null_keys == "keep" else F.lit(None)
+    newest = Window.partitionBy("invoice_number", "_own").orderBy(
         F.col("created_timestamp").desc_nulls_last(), F.col("invoice_id").desc()
     )
-
-    def first(df: DataFrame) -> DataFrame:
-        return df.withColumn("rn", F.row_number().over(newest)).filter("rn = 1").drop("rn")
-
-    if null_keys == "collapse":
-        return first(inv)
-    number = F.col("invoice_number")
-    return first(inv.filter(number.isNotNull())).unionByName(inv.filter(number.isNull()))
+    ranked = inv.withColumn("_own", own.cast("bigint")).withColumn("rn", F.row_number().over(newest))
+    return ranked.filter("rn = 1").drop("rn", "_own")
 
 
 def dedupe_latest(inv: DataFrame, det: DataFrame, null_keys: str = "keep") -> tuple[DataFrame, DataFrame]:

@@ -50,12 +50,14 @@ def build_index(parsed: DataFrame) -> Index:
     """Index of the successfully parsed documents.
 
     A document's terms are counted where the document lies, before the shuffle, and every
-    posting carries the document length, so scoring needs no join with the documents.
+    posting carries the document length, so scoring needs no join with the documents. The
+    outer explode keeps Catalyst from splitting each text a second time to drop empty ones.
     """
     ok = parsed.filter(F.col("processing_status") == "SUCCESS").withColumn("_t", tokens(F.col("extracted_text")))
     docs = ok.select("parsed_id", F.size("_t").alias("doc_len"), *ATTRIBUTES)
     postings = (
-        ok.select("parsed_id", F.size("_t").alias("doc_len"), F.explode("_t").alias("term"))
+        ok.select("parsed_id", F.size("_t").alias("doc_len"), F.explode_outer("_t").alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy("parsed_id", "doc_len", "term").agg(F.count("*").alias("tf"))
     )
     return Index(postings.select("term", "parsed_id", "tf", "doc_len"), docs)
@@ -79,6 +81,11 @@ def refresh_index(path: str, new_docs: DataFrame, batch_id: int) -> None:
     write_index(build_index(new_docs), path, batch_id)
 
 
+def _document_frequency(postings: DataFrame) -> DataFrame:
+    """Documents per term. It reads ``tf`` so that both uses of the postings are one exchange."""
+    return postings.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+
+
 def _bm25(tf: Column, doc_len: Column, df: Column, n_docs: Column, avg_len: Column) -> Column:
     idf = F.log(1 + (n_docs - df + 0.5) / (df + 0.5))
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * doc_len / avg_len))
@@ -97,8 +104,7 @@ def _scored(index: Index, hits: DataFrame, group: list[str], where: Column | Non
 def search(index: Index, query: str, k: int = 10, where: Column | None = None) -> DataFrame:
     """The ``k`` best documents with their attributes; ``where`` limits them by attribute."""
     postings = index.postings.filter(F.col("term").isin(query_terms(query)))
-    df = postings.groupBy("term").agg(F.count("*").alias("df"))  # one row per query term
-    hits = postings.join(F.broadcast(df), "term")
+    hits = postings.join(F.broadcast(_document_frequency(postings)), "term")  # one row per query term
     top = _scored(index, hits, ["parsed_id"], where).orderBy(F.col("score").desc(), "parsed_id").limit(k)
     return search_join(top, index.docs, "parsed_id", k).select("parsed_id", *ATTRIBUTES, "score")
 
@@ -112,16 +118,14 @@ def search_batch(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
     """``queries(query_id, query)`` to ranked ``(query_id, parsed_id, score, rank)``."""
     wanted = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
     n = wanted.agg(F.count("*").alias("n")).first()["n"]
-    postings = index.postings
+    terms = wanted.select("term").distinct()
     if n <= BROADCAST_ROWS:
-        used = postings.join(F.broadcast(wanted.select("term").distinct()), "term", "left_semi")
-        df = used.groupBy("term").agg(F.count("*").alias("df"))  # at most one row per query term
-        side = F.broadcast(wanted.join(F.broadcast(df), "term"))
-        hits = used.join(side, "term")
+        used = index.postings.join(F.broadcast(terms), "term", "left_semi")
+        weighted = wanted.join(F.broadcast(_document_frequency(used)), "term")
+        hits = used.join(F.broadcast(weighted), "term")
     else:
-        used = postings.join(wanted.select("term").distinct(), "term", "left_semi")
-        df = used.groupBy("term").agg(F.count("*").alias("df"))
-        hits = salted_join(used, wanted.join(df, "term"), "term", "parsed_id")
+        used = index.postings.join(terms, "term", "left_semi")
+        hits = salted_join(used, wanted.join(_document_frequency(used), "term"), "term", "parsed_id")
     scored = _scored(index, hits, ["query_id", "parsed_id"], None)
     return top_per_query(scored, k)
 
