@@ -70,7 +70,7 @@ def line_steps(lines: DataFrame, corrections: DataFrame, key: str = "doc_id") ->
     moves = corrections.filter("scope = 'detail' AND op IN ('add', 'pop', 'remove')").select(
         key, "line_id", F.when(F.col("op") == "add", "add").otherwise("remove").alias("op"), "changed_at", "seq"
     )
-    # A line goes at most once: the earliest removal counts.
+    # A line goes at most once: its earliest removal counts, also when that one is refused.
     once = moves.groupBy(key, "line_id", "op").agg(F.min(F.struct("changed_at", "seq")).alias("t")).select(
         key, "line_id", "op", "t.changed_at", "t.seq"
     )
