@@ -155,7 +155,8 @@ def semantic_query(
     if line_dims or line_metrics or line_rules:
         partials = []
         for m in line_metrics:
-            c = F.col(m.column)
+            # A table's key is never NULL: counting it is counting rows, and it need not be read.
+            c = F.lit(1) if m.agg == "count" and m.column == model.keys[LINES] else F.col(m.column)
             if m.agg in ("count", "avg"):
                 partials.append(F.count(c).alias(f"_n_{m.name}"))
             if m.agg in ("sum", "avg"):

@@ -8,9 +8,12 @@ from docflow.functions.casts import ago, status_icon
 
 
 def line_stats(det: DataFrame) -> DataFrame:
-    """Lines per invoice, reduced before any join so that headers never fan out."""
+    """Lines per invoice, reduced before any join so that headers never fan out.
+
+    Rows are counted instead of line ids, which are never NULL, so the ids are not read.
+    """
     return det.groupBy("invoice_id").agg(
-        F.count("invoice_detail_id").alias("line_count"),
+        F.count("*").alias("line_count"),
         F.sum("line_amount").cast("decimal(38,2)").alias("line_total"),
     )
 
