@@ -11,6 +11,9 @@ from docflow.operators.normalize import successful, with_content
 from docflow.operators.views import line_stats
 from docflow.schemas import LENGTHS
 
+# Rows of a micro-batch whose numbers may be sent to every task.
+BROADCAST_ROWS = 200_000
+
 
 def missing_fields(inv: DataFrame) -> DataFrame:
     required = ["invoice_number", "invoice_date", "vendor_name", "total_amount"]
@@ -190,10 +193,20 @@ def dedupe_latest(inv: DataFrame, det: DataFrame, null_keys: str = "keep") -> tu
     return kept, det.join(dropped, "invoice_id", "left_anti")
 
 
-def new_invoices(batch: DataFrame, stored: DataFrame, key: str = "invoice_number") -> DataFrame:
-    """Batch rows whose number is not stored yet, one per number inside the batch."""
+def new_invoices(
+    batch: DataFrame, stored: DataFrame, key: str = "invoice_number", batch_rows: int | None = None
+) -> DataFrame:
+    """Batch rows whose number is not stored yet, one per number inside the batch.
+
+    With ``batch_rows`` given and small, the batch's numbers are sent to the stored table,
+    which is then read but not shuffled.
+    """
     fresh = latest_invoices(batch)
-    return fresh.join(stored.select(key).filter(F.col(key).isNotNull()), key, "left_anti")
+    numbers = fresh.select(key).filter(F.col(key).isNotNull())
+    known = stored.select(key).filter(F.col(key).isNotNull())
+    if batch_rows is not None and batch_rows <= BROADCAST_ROWS:
+        known = known.join(F.broadcast(numbers), key, "left_semi").distinct()
+    return fresh.join(known, key, "left_anti")
 
 
 def log_mismatches(inv: DataFrame, det: DataFrame, as_of: str, hours: int = 1) -> DataFrame:

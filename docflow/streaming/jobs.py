@@ -131,28 +131,25 @@ def start_append(df: DataFrame, path: str, checkpoint: str, every: str | None =
 
 
 def start_unique_stream(
-    invoices: DataFrame, stored_path: str, checkpoint: str, late: str = LATE, every: str | None = None
+    invoices: DataFrame, stored_path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """New invoices whose number was neither seen on the stream nor stored before.
+    """New invoices whose number was not stored before, one per number.
 
-    The stream state only spans the watermark; older numbers are found in the stored table.
-    Rows without a number are all kept.
+    The stored table is the memory: no state to expire, so a number that comes back after
+    any time is found. Rows without a number are all kept.
     """
-    spark = invoices.sparkSession
-    timed = invoices.withColumn("_t", F.col("created_timestamp").cast("timestamp"))
-    key = F.coalesce(F.col("invoice_number"), F.concat(F.lit("\u0001"), F.col("invoice_id").cast("string")))
-    unique = (
-        timed.withColumn("_key", key).withWatermark("_t", late)
-        .dropDuplicatesWithinWatermark(["_key"]).drop("_t", "_key")
-    )
-    schema = unique.schema
+    spark, schema = invoices.sparkSession, invoices.schema
 
     def add(batch: DataFrame, batch_id: int) -> None:
         stored = _stored_before(spark, stored_path, schema, batch_id)
-        write_batch(new_invoices(batch, stored), stored_path, batch_id)
+        rows = batch.persist()
+        try:
+            write_batch(new_invoices(rows, stored, batch_rows=rows.count()), stored_path, batch_id)
+        finally:
+            rows.unpersist()
 
     return (
-        unique.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
+        invoices.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
     )
 
 

@@ -108,9 +108,9 @@ def test_numbers_stay_unique_across_batches_and_runs(spark, tmp_path):
         return jobs.start_unique_stream(stream, str(tmp_path / "stored"), str(tmp_path / "c"))
 
     add((1, "A", 0), (2, None, 0), (3, None, 0))
-    add((4, "A", 1), (5, "B", 1))  # A again, inside the watermark
+    add((4, "A", 1), (5, "B", 1))  # A again in the next batch
     jobs.run_once([start])
-    add((6, "A", 100), (7, "B", 100), (8, "C", 100))  # long after: the state is gone, the table is not
+    add((6, "A", 100), (7, "B", 100), (8, "C", 100))  # long after, in a new run
     jobs.run_once([start])
     stored = spark.read.parquet(str(tmp_path / "stored"))
     assert sorted(r.invoice_id for r in stored.collect()) == [1, 2, 3, 5, 8]
