@@ -19,6 +19,8 @@ JOBS = {"click": "extract", "view": "parse"}
 # A document holds at most this many lines; a longer order is several documents.
 LINES_PER_DOCUMENT = 2000
 
+# The failed extractions leave the invoices by NOT EXISTS: DuckDB 2.0.0 stops with an internal
+# error when the status column is filtered above the joins.
 SQL = {
     "k": """SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice, o_orderstatus, o_orderpriority,
          o_orderkey - CASE WHEN o_orderkey % 10 = 9 THEN 1 ELSE 0 END AS base_key,
@@ -61,7 +63,8 @@ SQL = {
   FROM k JOIN customer ON o_custkey = c_custkey
          JOIN supplier ON s_suppkey = base_key % (SELECT COUNT(*) FROM supplier)
          LEFT JOIN line_sum ON invoice_id = o_orderkey
-  WHERE status = 'SUCCESS'""",
+  WHERE NOT EXISTS (SELECT 1 FROM orders e WHERE e.o_orderkey = k.o_orderkey
+    AND e.o_orderpriority = '5-LOW' AND e.o_orderstatus = 'P')""",
     "raw_json": """SELECT CAST(o_orderkey AS BIGINT) AS extraction_id,
          CONCAT('invoice_', CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderpriority = '1-URGENT' THEN '.PDF'
            WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '.txt' ELSE '.pdf' END) AS file_name,
