@@ -52,20 +52,37 @@ def avg_duration(log: DataFrame, name: str, label: str, as_of: str, days: int =
     )
 
 
+def _runs(log: DataFrame, name: str) -> DataFrame:
+    done = log.filter((F.col("name") == name) & (F.col("state") == "SUCCEEDED"))
+    return with_duration(done).select(F.date_trunc("MINUTE", "scheduled_time").alias("minute"), "execution_seconds")
+
+
+def _files(raw: DataFrame) -> DataFrame:
+    return raw.select("file_name", "file_size", F.date_trunc("MINUTE", "extraction_timestamp").alias("minute"))
+
+
 def size_vs_time(raw: DataFrame, log: DataFrame, name: str) -> DataFrame:
-    """Files next to the runs scheduled in the minute they were extracted."""
-    runs = with_duration(log.filter((F.col("name") == name) & (F.col("state") == "SUCCEEDED"))).select(
-        F.date_trunc("MINUTE", "scheduled_time").alias("minute"), "execution_seconds"
-    )
-    landed = raw.select(
-        "file_name", "file_size", F.date_trunc("MINUTE", "extraction_timestamp").alias("minute")
-    )
-    return landed.join(runs, "minute").select(
+    """Files next to the runs of a job scheduled in the minute they were extracted (a job is
+    scheduled about once a minute). ``size_summary`` gives the totals without these rows."""
+    return _files(raw).join(_runs(log, name), "minute").select(
         "file_name", "file_size", size_kb(F.col("file_size")).alias("size_kb"), "execution_seconds",
         size_category(F.col("file_size")).alias("size_category"),
     )
 
 
+def size_summary(raw: DataFrame, log: DataFrame, name: str) -> DataFrame:
+    """Per size category: matches of files and runs, and their seconds. Both sides are reduced
+    to a row per minute before they meet, so a crowded minute costs no more than a quiet one."""
+    runs = _runs(log, name).groupBy("minute").agg(
+        F.count("*").alias("n_runs"), F.sum("execution_seconds").alias("n_seconds"))
+    files = _files(raw).groupBy("minute", size_category(F.col("file_size")).alias("size_category")).agg(
+        F.count("*").alias("n_files"))
+    return files.join(runs, "minute").groupBy("size_category").agg(
+        F.sum(F.col("n_files") * F.col("n_runs")).alias("files"),
+        F.sum(F.col("n_files") * F.col("n_seconds")).alias("seconds"),
+    )
+
+
 def failed_runs(log: DataFrame, limit: int = 5) -> DataFrame:
     return (
         log.filter(F.col("state") == "FAILED")

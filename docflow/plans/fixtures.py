@@ -307,7 +307,8 @@ class Tables:
         """
         d = self.invoice_detail
         parts = F.ceil(F.col("n") / LINES_PER_DOCUMENT).cast("int")
-        sizes = d.groupBy("invoice_id").agg(F.count("*").alias("n")).filter(F.col("n") > LINES_PER_DOCUMENT)
+        sizes = self.table("lineitem").groupBy(F.col("l_orderkey").alias("invoice_id")).agg(
+            F.count("*").alias("n")).filter(F.col("n") > LINES_PER_DOCUMENT)
         long_orders = sizes.select("invoice_id", parts.alias("n_parts"))
         part = F.coalesce(F.pmod(F.xxhash64("invoice_detail_id"), F.col("n_parts")), F.lit(0)).cast("int")
         row = F.struct(

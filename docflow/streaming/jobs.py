@@ -71,16 +71,13 @@ def start_document_stream(
 def start_parse_stream(
     raw: DataFrame, tables_path: str, checkpoint: str, every: str | None = None, pad: str = "driver"
 ) -> StreamingQuery:
-    """New landing rows to headers and lines. Both come from the same batch; a batch that is
-    run again replaces its own folders."""
+    """New landing rows to headers and lines. Both come from the same batch, read twice from
+    its files (cheaper than holding the documents); a batch that is run again replaces its
+    own folders."""
 
     def both(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()  # held for the two writes; lost blocks are read again from the source
-        try:
-            write_batch(parse_header(rows), f"{tables_path}/invoice", batch_id)
-            write_batch(parse_lines(rows, pad), f"{tables_path}/invoice_detail", batch_id)
-        finally:
-            rows.unpersist()
+        write_batch(parse_header(batch), f"{tables_path}/invoice", batch_id)
+        write_batch(parse_lines(batch, pad), f"{tables_path}/invoice_detail", batch_id)
 
     return (
         raw.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()

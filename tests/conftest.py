@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]").appName("docflow-tests")
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
