@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import decontam, jaccard, pii, quality, toxicity
+import corpus_pipeline
+import public_tokenizers
+from docflow.llm import bpe, decontam, jaccard, pii, quality, token_files, toxicity
 from docflow.llm.common import table
 
 
+def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,10 +41,13 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chunked_bpe": round_trip,
     "op3_decontamination": decontamination,
+    "op5_token_files": id_files,
     "op6_toxicity": toxic,
     "op7_pii": personal,
     "op8_jaccard_join": near_copies,
     "op10_quality": good,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
