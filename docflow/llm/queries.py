@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 import public_tokenizers
-from docflow.llm import bpe, decontam, jaccard, pii, quality, token_files, toxicity
+from docflow.llm import bpe, class_lm, decontam, jaccard, pii, quality, token_files, toxicity, vectors
 from docflow.llm.common import table
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(table(spark, sf_dir, "documents"))
+
+
 def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -36,17 +40,23 @@ def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_class_lm": language_model,
     "op2_chunked_bpe": round_trip,
     "op3_decontamination": decontamination,
     "op5_token_files": id_files,
     "op6_toxicity": toxic,
     "op7_pii": personal,
     "op8_jaccard_join": near_copies,
+    "op9_embedding_dedup": near_vectors,
     "op10_quality": good,
     "pipeline": corpus_pipeline.run,
 }
