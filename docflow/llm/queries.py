@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 import public_tokenizers
-from docflow.llm import bpe, class_lm, decontam, jaccard, pii, quality, token_files, toxicity, vectors
+from docflow.llm import bpe, class_lm, decontam, jaccard, pages, pii, quality, token_files, toxicity, vectors
 from docflow.llm.common import table
 
 
@@ -20,6 +20,10 @@ def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_class_lm": language_model,
     "op2_chunked_bpe": round_trip,
     "op3_decontamination": decontamination,
+    "op4_main_text": main_text,
     "op5_token_files": id_files,
     "op6_toxicity": toxic,
     "op7_pii": personal,
