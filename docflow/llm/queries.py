@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 import public_tokenizers
-from docflow.llm import bpe, class_lm, decontam, jaccard, pages, pii, quality, token_files, toxicity, vectors
+from docflow.llm import bpe, class_lm, decontam, jaccard, oracles, pages, pii, quality, token_files, toxicity, vectors
 from docflow.llm.common import table
 
 
@@ -65,4 +65,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": good,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_decontamination": oracles.DECONTAMINATION,
+    "op7_pii": oracles.PERSONAL,
+    "op8_jaccard_join": oracles.JACCARD,
+    "op9_embedding_dedup": oracles.VECTORS,
+}
