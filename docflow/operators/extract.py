@@ -70,6 +70,10 @@ APP = {
     "LineTotals": {"type": "array", "description": "Price, per line"},
 }
 
+# A further part of a document with very many lines names the first part and the lines before it; every field set
+# of the built-in rules reads this mark.
+CONTINUES = "continues"
+
 # Labels the built-in rules look for, where they differ from the field name.
 LABELS = {
     "vendor_name": "Vendor", "VendorName": "Vendor", "InvoiceNo": "Invoice Number",
@@ -156,7 +160,7 @@ def extract_fields(
         return _with_worker(df, text_col, fields, worker, partitions)
     names = list(properties(fields))
     scalars = [n for n, s in properties(fields).items() if isinstance(s, str)]
-    found = read_text(df, text_col).withColumn("_f", F.struct(*rule_columns(fields)))
+    found = read_text(df, text_col).withColumn("_f", F.struct(*rule_columns(fields), _label_value(CONTINUES).alias(CONTINUES)))
     probe = [F.col(f"_f.{n}") for n in (scalars or names)]
     message = (
         F.when(F.col(text_col).isNull(), "no text")
@@ -186,7 +190,7 @@ def _with_worker(df, text_col, fields, worker, partitions) -> DataFrame:
                     errors.append(None)
                 except Exception as exc:  # a bad document is a row, not a failed task
                     payload.append(None)
-                    errors.append(f"{type(exc).__name__}: {exc}"[:5000])
+                    errors.append(f"{type(exc).__name__}: {exc}")
             yield pdf[names].assign(_json=payload, error_message=errors)
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)

@@ -60,9 +60,30 @@ def successful(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("processing_status") == "SUCCESS")
 
 
-def with_content(raw: DataFrame) -> DataFrame:
-    """``_v``: the extraction result without its envelope."""
-    return raw.withColumn("_v", unwrap(F.col("extracted_json")))
+def with_content(raw: DataFrame, key: str = "extraction_id") -> DataFrame:
+    """``_v``: the extraction result without its envelope; ``_parent`` and ``_offset``: the document it belongs to
+    and how many of its lines earlier parts hold.
+
+    A document with very many lines comes in parts. Each further part has ``continues``: the first part's key, a
+    colon and the number of lines before it.
+    """
+    content = raw.withColumn("_v", unwrap(F.col("extracted_json")))
+    link = F.split(text_at(F.col("_v"), "continues"), ":")
+    kind = raw.schema[key].dataType
+    return content.withColumns({
+        "_parent": F.coalesce(F.try_element_at(link, F.lit(1)).try_cast(kind), F.col(key)),
+        "_offset": F.coalesce(F.try_element_at(link, F.lit(2)).try_cast("int"), F.lit(0)),
+    })
+
+
+def begins(v: Column) -> Column:
+    """Whether the content is a document's first or only part."""
+    return text_at(v, "continues").isNull()
+
+
+def documents(raw: DataFrame, key: str = "extraction_id") -> DataFrame:
+    """``with_content`` of the first parts: one row per document."""
+    return with_content(raw, key).filter(begins(F.col("_v")))
 
 
 def parse_header(raw: DataFrame, where: Column | None = None) -> DataFrame:
@@ -82,7 +103,7 @@ def parse_header(raw: DataFrame, where: Column | None = None) -> DataFrame:
         F.coalesce(text_at(v, "financial.currency", "currency"), F.lit("USD")).alias("currency"),
         F.col("extraction_timestamp").alias("created_timestamp"),
     ]
-    header = conform(with_content(successful(raw)).select(*cols), INVOICE)
+    header = conform(documents(successful(raw)).select(*cols), INVOICE)
     return header if where is None else header.filter(where)
 
 
@@ -112,14 +133,16 @@ def parse_lines(raw: DataFrame, pad: str = "driver") -> DataFrame:
 
     ``driver`` yields as many lines as there are line numbers; ``longest`` keeps every
     position of the longest array. Shorter arrays give NULL. Record arrays give all records.
+    Lines of a further part belong to the first part's document.
     """
     lines = with_content(successful(raw)).select(
-        "extraction_id", "extraction_timestamp", F.posexplode(_lines(F.col("_v"), pad)).alias("_pos", "_r")
+        F.col("_parent").alias("extraction_id"), "extraction_timestamp", "_offset",
+        F.posexplode(_lines(F.col("_v"), pad)).alias("_pos", "_r"),
     )
     text = {name: F.coalesce(*[F.col(f"_r.{k}") for k in keys]) for name, keys in LINE_FIELDS.items()}
     return conform(
         lines.select(
-            F.xxhash64("extraction_id", "_pos").alias("invoice_detail_id"),
+            F.xxhash64("extraction_id", F.col("_offset") + F.col("_pos")).alias("invoice_detail_id"),
             F.col("extraction_id").alias("invoice_id"),
             safe_decimal(text["line_number"]).cast("bigint").alias("line_number"),
             safe_decimal(text["quantity"], 18, 4).alias("quantity"),
@@ -139,8 +162,8 @@ def flatten_records(raw: DataFrame, key: str = "extraction_id") -> DataFrame:
         F.col("_v"), "$.line_items",
         "array<struct<description:string,quantity:string,unit_price:string,line_amount:string>>",
     )
-    lines = with_content(successful(raw)).select(
-        key, text_at(F.col("_v"), "invoice_number").alias("invoice_number"), F.explode(records).alias("r")
+    lines = with_content(successful(raw), key).select(
+        F.col("_parent").alias(key), text_at(F.col("_v"), "invoice_number").alias("invoice_number"), F.explode(records).alias("r")
     )
     return lines.select(
         key, "invoice_number", F.col("r.description").alias("item_description"),
@@ -151,7 +174,7 @@ def flatten_records(raw: DataFrame, key: str = "extraction_id") -> DataFrame:
 def flatten_fields(raw: DataFrame) -> DataFrame:
     """Four header fields straight from the extraction result."""
     v = F.col("_v")
-    return with_content(successful(raw)).select(
+    return documents(successful(raw)).select(
         F.col("file_name").alias("filename"),
         text_at(v, "invoice_number").alias("invoice_number"),
         safe_date(text_at(v, "invoice_date")).alias("invoice_date"),
@@ -160,17 +183,27 @@ def flatten_fields(raw: DataFrame) -> DataFrame:
     )
 
 
+def line_counts(raw: DataFrame) -> DataFrame:
+    """Line items per document (``extraction_id``, ``line_items``) over all its parts; NULL without lines."""
+    counts = with_content(successful(raw)).select(
+        F.col("_parent").alias("extraction_id"), line_item_count(F.col("_v")).cast("bigint").alias("n"))
+    return counts.groupBy("extraction_id").agg(F.sum("n").alias("line_items"))
+
+
 def json_structure(raw: DataFrame) -> DataFrame:
+    """Header fields and the number of lines per document; the first part has the header, every part counts."""
     v = F.col("_v")
-    return with_content(successful(raw)).select(
-        "extraction_id", "file_name",
-        text_at(v, "invoice_number").alias("invoice_number"),
-        text_at(v, "invoice_date").alias("invoice_date"),
+    head = F.struct(
+        "file_name", text_at(v, "invoice_number").alias("invoice_number"), text_at(v, "invoice_date").alias("invoice_date"),
         text_at(v, "vendor.name", "vendor_name", "vendor").alias("vendor_name"),
         text_at(v, "customer.name", "customer_name", "customer").alias("customer_name"),
         safe_decimal(text_at(v, "financial.total_amount", "total_amount")).alias("total_amount"),
-        line_item_count(v).cast("bigint").alias("line_item_count"),
     )
+    parts = with_content(successful(raw)).select(
+        F.col("_parent").alias("extraction_id"), F.when(begins(v), head).alias("h"),
+        line_item_count(v).cast("bigint").alias("n"))
+    found = parts.groupBy("extraction_id").agg(F.max("h").alias("h"), F.sum("n").alias("line_item_count"))
+    return found.filter("h IS NOT NULL").select("extraction_id", "h.*", "line_item_count")
 
 
 def validation_status(v: Column) -> Column:
@@ -186,9 +219,8 @@ def validation_status(v: Column) -> Column:
 
 def split_header_detail(responses: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Form response to a header row and lines; every array is padded to the longest."""
-    content = responses.withColumn("_v", unwrap(F.col("extracted_json")))
-    v = F.col("_v")
-    header = content.select(
+    content, v = with_content(responses, key), F.col("_v")
+    header = documents(responses, key).select(
         key,
         *[F.coalesce(text_at(v, c), F.lit("")).alias(c) for c in APP_TEXT],
         *[F.coalesce(text_at(v, c), F.lit("0")).alias(c) for c in APP_MONEY],
@@ -197,8 +229,9 @@ def split_header_detail(responses: DataFrame, key: str = "doc_id") -> tuple[Data
     zipped = F.arrays_zip(*[
         F.coalesce(texts_at(v, path), F.array().cast("array<string>")).alias(name) for name, path in arrays.items()
     ])
-    detail = content.select(key, F.posexplode(zipped).alias("_pos", "_r")).select(
-        key, (F.col("_pos") + 1).cast("bigint").alias("LineNumber"),
+    lines = content.select(F.col("_parent").alias(key), "_offset", F.posexplode(zipped).alias("_pos", "_r"))
+    detail = lines.select(
+        key, (F.col("_offset") + F.col("_pos") + 1).cast("bigint").alias("LineNumber"),
         *[F.coalesce(F.col(f"_r.{name}"), F.lit("")).alias(name) for name in arrays],
     )
     return header, detail

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from docflow.functions.casts import ago, at, clean_money
 from docflow.functions.variants import line_item_count, text_at, texts_at
 from docflow.operators.analytics import beside
-from docflow.operators.normalize import successful, with_content
+from docflow.operators.normalize import begins, successful, with_content
 from docflow.operators.views import line_stats
 from docflow.schemas import LENGTHS
 
@@ -82,19 +82,24 @@ def check_totals(header: DataFrame, detail: DataFrame, key: str = "doc_id") -> D
 
 
 def json_issues(raw: DataFrame) -> DataFrame:
+    """One issue at most per document; lines are counted over all its parts."""
     v = F.col("_v")
-    count = line_item_count(v)
-    numbers = F.coalesce(F.size(texts_at(v, "line_items.line_number")), F.lit(0))
-    is_object = F.try_variant_get(v, "$.line_items", "map<string,variant>").isNotNull()
+    parts = with_content(successful(raw)).select(
+        F.col("_parent").alias("extraction_id"),
+        F.when(begins(v), F.struct("file_name", text_at(v, "invoice_number").alias("number"))).alias("h"),
+        line_item_count(v).alias("n"), F.coalesce(F.size(texts_at(v, "line_items.line_number")), F.lit(0)).alias("numbers"),
+        F.try_variant_get(v, "$.line_items", "map<string,variant>").isNotNull().alias("is_object"),
+    )
+    found = parts.groupBy("extraction_id").agg(
+        F.max("h").alias("h"), F.sum("n").alias("n"), F.sum("numbers").alias("numbers"), F.max("is_object").alias("is_object"))
     issue = (
-        F.when(text_at(v, "invoice_number").isNull(), "Missing invoice_number")
-        .when(count.isNull(), "Missing line_items")
-        .when(count == 0, "Empty line_items")
-        .when(is_object & (numbers < count), "Lines without line_number")
+        F.when(F.col("h.number").isNull(), "Missing invoice_number")
+        .when(F.col("n").isNull(), "Missing line_items")
+        .when(F.col("n") == 0, "Empty line_items")
+        .when(F.col("is_object") & (F.col("numbers") < F.col("n")), "Lines without line_number")
     )
-    return with_content(successful(raw)).select(
-        "extraction_id", "file_name", issue.alias("issue_type")
-    ).filter(F.col("issue_type").isNotNull())
+    return found.filter("h IS NOT NULL").select(
+        "extraction_id", "h.file_name", issue.alias("issue_type")).filter(F.col("issue_type").isNotNull())
 
 
 def extraction_errors(raw: DataFrame) -> DataFrame:

@@ -9,15 +9,16 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from docflow.session import tune
 
 AS_OF_DATE = "2001-01-01"
 AS_OF = "2024-01-10 12:00:00"
 JOBS = {"click": "extract", "view": "parse"}
-# A document holds at most this many lines; a longer order is several documents.
+# A document holds about this many lines; a longer order is one document in several parts.
 LINES_PER_DOCUMENT = 2000
+ID_RANGE = 1 << 60  # line ids are 60 bits of a hash
 
 # The failed extractions leave the invoices by NOT EXISTS: DuckDB 2.0.0 stops with an internal
 # error when the status column is filtered above the joins.
@@ -298,36 +299,60 @@ class Tables:
 
     # ---- documents that hold their lines ----------------------------------------------
 
+    @cached_property
+    def _long_lines(self) -> DataFrame:
+        """(long_id, long_number, buckets) of orders with more than ``LINES_PER_DOCUMENT`` lines: into how many
+        ranges of line ids the lines of each number are cut."""
+        lines = self.table("lineitem").select(F.col("l_orderkey").alias("long_id"), F.col("l_linenumber").cast("bigint").alias("long_number"))
+        counts = lines.groupBy("long_id", "long_number").agg(F.count("*").alias("n"))
+        long_ids = counts.groupBy("long_id").agg(F.sum("n").alias("n")).filter(F.col("n") > LINES_PER_DOCUMENT).select("long_id")
+        return counts.join(long_ids, "long_id", "left_semi").select(
+            "long_id", "long_number", F.ceil(F.col("n") / LINES_PER_DOCUMENT).cast("bigint").alias("buckets"))
+
     @cached_property
     def line_arrays(self) -> DataFrame:
-        """Lines collected per document, ordered by line number and id.
+        """Lines collected per document, ordered by line number and id: ``lines``, ``part``, ``offset`` (lines of the
+        order in earlier parts) and ``last``.
 
-        A document holds at most ``LINES_PER_DOCUMENT`` lines or so: an order with more is
-        spread over several parts by line id, and the rows are shuffled by order and part.
+        An order with more than ``LINES_PER_DOCUMENT`` lines comes in parts, ranges of (line number, line id), so the
+        rows are shuffled by order and part; the parts of an order are numbered from their counts alone.
         """
         d = self.invoice_detail
-        parts = F.ceil(F.col("n") / LINES_PER_DOCUMENT).cast("int")
-        sizes = self.table("lineitem").groupBy(F.col("l_orderkey").alias("invoice_id")).agg(
-            F.count("*").alias("n")).filter(F.col("n") > LINES_PER_DOCUMENT)
-        long_orders = sizes.select("invoice_id", parts.alias("n_parts"))
-        part = F.coalesce(F.pmod(F.xxhash64("invoice_detail_id"), F.col("n_parts")), F.lit(0)).cast("int")
+        same = (F.col("invoice_id") == F.col("long_id")) & (F.col("line_number") == F.col("long_number"))
+        width = F.ceil(F.lit(ID_RANGE) / F.col("buckets"))
+        cut = F.when(F.col("buckets").isNotNull(), F.struct(
+            "line_number", F.floor(F.col("invoice_detail_id") / width).alias("bucket"))).alias("cut")
         row = F.struct(
             "line_number", "invoice_detail_id", "item_description", "item_code", "quantity",
             "unit_of_measure", "unit_price", "line_amount", "tax_amount", "category",
         )
-        return (
-            d.join(long_orders, "invoice_id", "left")
-            .groupBy("invoice_id", part.alias("part")).agg(F.sort_array(F.collect_list(row)).alias("lines"))
-        )
+        keyed = d.join(self._long_lines, same, "left").select("invoice_id", cut, row.alias("row"))
+        lines = keyed.groupBy("invoice_id", "cut").agg(F.sort_array(F.collect_list("row")).alias("lines"))
+
+        ids = self.table("lineitem").select(
+            F.col("l_orderkey").alias("invoice_id"), F.col("l_linenumber").cast("bigint").alias("line_number"),
+            line_id().alias("invoice_detail_id"))
+        counts = ids.join(self._long_lines, same).select("invoice_id", cut).groupBy("invoice_id", "cut").agg(F.count("*").alias("n"))
+        order = Window.partitionBy("invoice_id").orderBy("cut")
+        before = order.rowsBetween(Window.unboundedPreceding, -1)
+        parts = counts.select(
+            "invoice_id", "cut", (F.row_number().over(order) - 1).alias("part"),
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), F.lead("n").over(order).isNull().alias("last"))
+        whole = lines.filter("cut IS NULL").select(
+            "invoice_id", "lines", F.lit(0).alias("part"), F.lit(0).cast("bigint").alias("offset"), F.lit(True).alias("last"))
+        return lines.filter("cut IS NOT NULL").join(parts, ["invoice_id", "cut"]).select(*whole.columns).unionByName(whole)
 
     @cached_property
     def documents_with_lines(self) -> DataFrame:
-        """One row per invoice document: header columns and the array ``lines`` (empty if none)."""
+        """One row per invoice document or part: header columns, the array ``lines`` (empty if none), and for further
+        parts ``continues``."""
         raw = self.raw.select("extraction_id", "file_name", "file_url", "file_size", "last_modified", "extraction_timestamp")
+        link = F.concat_ws(":", F.col("extraction_id").cast("string"), F.col("offset").cast("string"))
         return (
             self.invoice.join(raw, "extraction_id")
             .join(self.line_arrays, "invoice_id", "left")
-            .withColumn("part", F.coalesce("part", F.lit(0)))
+            .withColumns({"part": F.coalesce("part", F.lit(0)), "last": F.coalesce("last", F.lit(True))})
+            .withColumn("continues", F.when(F.col("part") > 0, link))
         )
 
     @cached_property
@@ -374,12 +399,12 @@ class Tables:
             *[F.col(c).cast("string").alias(c) for c in money],
             # A missing currency stands for USD.
             F.when(F.col("currency") != "USD", F.col("currency")).alias("currency"),
-            *terms, F.when(has_lines, arrays).alias("line_items"),
+            *terms, "continues", F.when(has_lines, arrays).alias("line_items"),
         )
         nested = F.struct(
             "invoice_number", *day, F.struct(F.col("vendor_name").alias("name")).alias("vendor"),
             F.struct(F.col("customer_name").alias("name")).alias("customer"),
-            F.struct(*money, "currency").alias("financial"), *terms, F.when(has_lines, records).alias("line_items"),
+            F.struct(*money, "currency").alias("financial"), *terms, "continues", F.when(has_lines, records).alias("line_items"),
         )
         first = F.col("part") == 0
         return d.select(
@@ -402,7 +427,7 @@ class Tables:
             "\n", F.lit("INVOICE"), labelled("Invoice Number", "invoice_number"), labelled("Invoice Date", "invoice_date"),
             labelled("Due Date", "due_date"), labelled("Vendor", "vendor_name"), labelled("Customer", "customer_name"),
             labelled("PO Number", "po_number"), labelled("Payment Terms", "payment_terms"),
-            labelled("Currency", "currency"),
+            labelled("Currency", "currency"), labelled("Continues", "continues"),
         )
         rows = F.transform("lines", lambda r: F.concat_ws(
             " | ", F.concat(F.lit("# "), r["line_number"].cast("string")), r["item_description"], r["item_code"],
@@ -418,7 +443,7 @@ class Tables:
             F.when(first, F.col("extraction_id")).otherwise(F.xxhash64("extraction_id", "part")).alias("extraction_id"),
             F.when(first, F.col("file_name")).otherwise(F.concat_ws("#", "file_name", "part")).alias("file_name"),
             "file_url", "file_size", "last_modified",
-            F.concat_ws("\n", head, F.array_join(rows, "\n"), foot).alias("text"),
+            F.concat_ws("\n", head, F.array_join(rows, "\n"), foot).alias("text"), "part",
         )
 
     # ---- form documents ----------------------------------------------------------------
@@ -456,14 +481,14 @@ class Tables:
             return F.transform("lines", lambda r: r[name].cast("string"))
 
         names = column("item_description")
-        short = F.when(F.col("payment_terms") == "Net 30", F.slice(names, F.lit(1), F.greatest(F.size(names) - 1, F.lit(0))))
+        short = F.when((F.col("payment_terms") == "Net 30") & F.col("last"), F.slice(names, F.lit(1), F.greatest(F.size(names) - 1, F.lit(0))))
         response = F.struct(
             F.col("vendor_name").alias("VendorName"), F.col("invoice_number").alias("InvoiceNo"),
             F.col("po_number").alias("PurchaseOrderNo"), F.col("invoice_date").cast("string").alias("InvoiceDate"),
             F.col("subtotal").cast("string").alias("InvoiceSubtotal"), F.col("tax_amount").cast("string").alias("InvoiceTaxAmount"),
             F.col("total_amount").cast("string").alias("InvoiceTotal"),
             column("quantity").alias("Quantities"), F.coalesce(short, names).alias("ItemDescriptions"),
-            column("line_amount").alias("LineTotals"),
+            column("line_amount").alias("LineTotals"), "continues",
         )
         return d.select(
             F.concat_ws("#", F.col("invoice_id").cast("string"), F.when(F.col("part") > 0, F.col("part"))).alias("doc_id"),

@@ -62,7 +62,7 @@ SELECT r.extraction_id, r.file_name, r.file_size, TIMESTAMP '{AS_OF}' AS extract
 def _(t):
     path = scratch(t.spark, "raw_json")
     st.append(st.raw_rows(extract_fields(t.texts, "text", FULL), AS_OF), path)
-    stored = st.read_table(t.spark, path, RAW_JSON)
+    stored = n.documents(st.read_table(t.spark, path, RAW_JSON))
     return stored.select(
         "extraction_id", "file_name", "file_size", "extraction_timestamp", "processing_status",
         text_at(F.col("extracted_json"), "vendor").alias("vendor"),
@@ -218,7 +218,7 @@ def _(t):
 @query("j1_path_access", with_tables("SELECT extraction_id, invoice_number, vendor_name, po_number FROM invoice", "invoice"))
 def _(t):
     v = F.col("_v")
-    return n.with_content(t.raw_json).select(
+    return n.documents(t.raw_json).select(
         "extraction_id", text_at(v, "invoice_number").alias("invoice_number"),
         text_at(v, "vendor.name", "vendor").alias("vendor_name"), text_at(v, "po_number").alias("po_number"),
     )
@@ -332,7 +332,7 @@ def _(t):
 SELECT i.extraction_id, NULLIF(COUNT(d.invoice_id), 0) AS line_items FROM invoice i
 LEFT JOIN invoice_detail d ON d.invoice_id = i.invoice_id GROUP BY 1""", "invoice"))
 def _(t):
-    return n.with_content(t.raw_json).select("extraction_id", line_item_count(F.col("_v")).cast("bigint").alias("line_items"))
+    return n.line_counts(t.raw_json)
 
 
 @query("j14_json_structure", with_tables("""
@@ -374,7 +374,7 @@ SELECT i.extraction_id, COUNT(d.invoice_id) AS records, CAST(SUM(d.line_amount)
 FROM invoice i JOIN invoice_detail d ON d.invoice_id = i.invoice_id GROUP BY 1""", "invoice"))
 def _(t):
     records = F.try_variant_get(F.col("_v"), "$.line_items", "array<variant>")
-    items = n.with_content(t.raw_records).select("extraction_id", F.explode(records).alias("item"))
+    items = n.with_content(t.raw_records).select(F.col("_parent").alias("extraction_id"), F.explode(records).alias("item"))
     amount = safe_decimal(text_at(F.col("item"), "line_amount"), 18, 2)
     return items.groupBy("extraction_id").agg(F.count("*").alias("records"), F.sum(amount).cast("decimal(38,2)").alias("total"))
 
@@ -391,7 +391,7 @@ def _(t):
 SELECT extraction_id, currency <> 'EUR' AND payment_terms <> 'Net 30' AS in_envelope, po_number FROM invoice""", "invoice"))
 def _(t):
     v = F.col("extracted_json")
-    return t.raw_json.select(
+    return n.documents(t.raw_json).select(
         "extraction_id", F.try_variant_get(v, "$.response", "variant").isNotNull().alias("in_envelope"),
         text_at(unwrap(v), "po_number").alias("po_number"),
     )
@@ -400,7 +400,7 @@ def _(t):
 @query("e10_fallback_fields", with_tables("""
 SELECT extraction_id, COALESCE(invoice_number, po_number, 'UNKNOWN') AS reference FROM invoice""", "invoice"))
 def _(t):
-    return n.with_content(t.raw_json).select(
+    return n.documents(t.raw_json).select(
         "extraction_id", first_of(F.col("_v"), "invoice_number", "po_number").alias("reference")
     )
 
@@ -409,7 +409,7 @@ def _(t):
 SELECT extraction_id, CASE WHEN invoice_number IS NULL THEN 'Missing invoice number' WHEN total_amount IS NULL THEN 'Missing total'
   WHEN total_amount <= 0 THEN 'Invalid total' ELSE 'Valid' END AS validation_status FROM invoice""", "invoice"))
 def _(t):
-    return n.with_content(t.raw_json).select("extraction_id", n.validation_status(F.col("_v")).alias("validation_status"))
+    return n.documents(t.raw_json).select("extraction_id", n.validation_status(F.col("_v")).alias("validation_status"))
 
 
 @query("e12_split_header", with_tables("""

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from compare import compare, connect
 from conftest import SF
 from pyspark.sql import functions as F
 
@@ -79,6 +80,20 @@ def test_hot_order_is_spread_over_documents(spark, tables, monkeypatch):
     known = t.invoice.select("invoice_id")
     parsed = n.parse_lines(t.raw_json)
     assert parsed.count() == t.invoice_detail.join(known, "invoice_id", "left_semi").count()
+    assert parsed.select("invoice_detail_id").distinct().count() == parsed.count()
+    assert n.parse_header(t.raw_json).count() == t.invoice.count()
+
+
+IN_PARTS = ["j2_parse_header", "j3_parse_lines", "j3b_parse_lines_longest", "j4_flatten_records", "j5_flatten_fields",
+            "j10_default_currency", "j13_line_item_count", "j14_json_structure", "e1_extract_fields", "e1b_extract_app",
+            "e3_extract_records", "e12_split_header", "e12b_split_detail", "q8_json_issues", "s7_write_header_and_lines",
+            "n12_lateral_lines", "k3_parent_links"]
+
+
+@pytest.mark.parametrize("name", IN_PARTS)
+def test_parts_of_a_document_are_one_document(spark, monkeypatch, name):
+    monkeypatch.setattr(fixtures, "LINES_PER_DOCUMENT", 3)
+    assert compare(entry.queries()[name](spark, SF), connect(SF), entry.oracle_sql()[name]) is None
 
 
 def test_results_stay_whole_with_a_hot_order(spark, tables):
