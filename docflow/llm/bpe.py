@@ -8,6 +8,8 @@ every encoding of the text must break (a blank between two visible ASCII charact
 stands around it), and the text between is encoded again; a chunk without such a place becomes part of that text, so
 the stretch grows until both ends agree.
 
+Digests are counted first. Those that more than one document has are kept in a filter of fixed size; a digest that
+passes by chance costs work, not correctness. A document without a shared chunk is encoded whole where it is read.
 Rows between the stages are chunks (a hot chunk: one row for each block of documents that has it) and documents (a
 list of digests), so nothing grows with the number of documents that share a chunk. Blocks are numbered by scan
 task: the input must be a stored table, or anything else that gives the same rows when a task runs again.
@@ -38,6 +40,8 @@ NEAR = 48  # tokens looked at first for a safe place
 SAFE = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 ROWS = "key binary, block long, kind int, doc_id long, payload binary"
 CHUNK, DOCUMENT = 0, 1
+RESULT = ["doc_id", "ids", "decoded"]
+FILTER_BITS, SLICE_BITS, PROBES = 26, 17, 4  # bits of the filter of shared digests (2^n), of its slices, set a digest
 
 
 def cuts(data: np.ndarray) -> np.ndarray:
@@ -82,30 +86,107 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
                                       ["key", "block", "kind", "doc_id", "payload"])
 
 
-def _cut_up(batches):
-    """Distinct chunks of each block of documents, compressed, and each document's list of digests."""
-    pack = zstandard.ZstdCompressor(level=1).compress
-    task, number, size, met = TaskContext.get().partitionId(), 0, BLOCK_BYTES, set()
+def _pieces(batches):
+    """(ids, chunks of each text, digests of each text), some texts at a time."""
     for batch in batches:
         ids, texts, at = batch.column(0).to_pylist(), utf8(batch.column(1)), 0
         while at < len(texts):
-            if size >= BLOCK_BYTES:
-                number, size, met = number + 1, 0, set()
-            end = at
+            size, end = 0, at
             while end < len(texts) and size < BLOCK_BYTES:
                 size += len(texts[end])
                 end += 1
+            chunks = chunked(texts[at:end])
+            yield ids[at:end], chunks, [[hashlib.blake2b(c, digest_size=16).digest() for c in cs] for cs in chunks], size
+            at = end
+
+
+def _digests(batches):
+    """Each document's distinct digests."""
+    for _, _, keys, _ in _pieces(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([k for ks in keys for k in dict.fromkeys(ks)], pa.binary())], ["key"])
+
+
+def _bits(keys: list[bytes]) -> np.ndarray:
+    """The filter's bits for each digest."""
+    halves = np.frombuffer(b"".join(keys), "<u8").reshape(-1, 2)
+    return (halves[:, :1] + np.arange(PROBES, dtype=np.uint64) * (halves[:, 1:] | np.uint64(1))) >> np.uint64(64 - FILTER_BITS)
+
+
+def _filter_slices(batches):
+    """The task's share of the filter, slice by slice."""
+    mask = np.zeros(1 << FILTER_BITS, bool)
+    for batch in batches:
+        if batch.num_rows:
+            mask[_bits(batch.column(0).to_pylist()).ravel()] = True
+    for i, part in enumerate(mask.reshape(-1, 1 << SLICE_BITS)):
+        if part.any():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zstandard.compress(
+                np.packbits(part).tobytes(), 1)], pa.binary())], ["slice", "bits"])
+
+
+def _united(table: pa.Table) -> pa.Table:
+    parts = [np.frombuffer(zstandard.decompress(b), np.uint8) for b in table["bits"].to_pylist()]
+    bits = zstandard.compress(np.bitwise_or.reduce(parts).tobytes(), 1)
+    return pa.table({"slice": table["slice"][:1], "bits": pa.array([bits], pa.binary())})
+
+
+def shared_filter(texts: DataFrame) -> np.ndarray:
+    """Bits of the digests that more than one document has; of fixed size, united in two levels."""
+    keys = texts.mapInArrow(_digests, "key binary").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    parts = keys.mapInArrow(_filter_slices, "slice int, bits binary").withColumn("part", F.xxhash64("bits") % 32)
+    for group in (["slice", "part"], ["slice"]):
+        parts = parts.groupBy(*group).applyInArrow(_united, "slice int, bits binary")
+    out = np.zeros((1 << FILTER_BITS - SLICE_BITS, 1 << SLICE_BITS - 3), np.uint8)
+    for r in parts.toLocalIterator():
+        out[r.slice] = np.frombuffer(zstandard.decompress(r.bits), np.uint8)
+    return out.ravel()
+
+
+def _has_shared(bits: np.ndarray, keys: list[list[bytes]]) -> list[bool]:
+    """Whether any digest of each text passes the filter."""
+    flat = [k for ks in keys for k in ks]
+    if not flat:
+        return [False] * len(keys)
+    at = _bits(flat).astype(np.int64)
+    hit = ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(1)
+    owner = np.repeat(np.arange(len(keys)), [len(ks) for ks in keys])
+    return (np.bincount(owner, hit, len(keys)) > 0).tolist()
+
+
+def _whole(path: str, bits):
+    """Documents without a shared chunk, encoded where they are read."""
+
+    def run(batches):
+        for ids, chunks, keys, _ in _pieces(batches):
+            alone = [i for i, shared in enumerate(_has_shared(bits.value, keys)) if not shared]
+            yield _results(path, [ids[i] for i in alone], encode(path, [b"".join(chunks[i]) for i in alone]))
+
+    return run
+
+
+def _cut_up(bits):
+    """Distinct chunks of each block of documents, compressed, and each document's list of digests."""
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        task, number, filled, met = TaskContext.get().partitionId(), 0, 0, set()
+        for ids, chunks, keys, size in _pieces(batches):
+            if filled >= BLOCK_BYTES:
+                number, filled, met = number + 1, 0, set()
+            filled += size
             block, out = (task << 32) + number, []
-            for i, chunks in enumerate(chunked(texts[at:end])):
-                keys = [hashlib.blake2b(c, digest_size=16).digest() for c in chunks]
-                for key, chunk in zip(keys, chunks):
+            for i, shared in enumerate(_has_shared(bits.value, keys)):
+                if not shared:
+                    continue
+                for key, chunk in zip(keys[i], chunks[i]):
                     if key not in met:
                         met.add(key)
                         out.append((key, block, CHUNK, None, pack(chunk)))
-                spread = hashlib.blake2b(f"{block} {at + i}".encode(), digest_size=8).digest()
-                out.append((spread, block, DOCUMENT, ids[at + i], b"".join(keys)))
+                spread = hashlib.blake2b(f"{block} {len(out)}".encode(), digest_size=8).digest()
+                out.append((spread, block, DOCUMENT, ids[i], b"".join(keys[i])))
             yield _rows(out)
-            at = end
+
+    return run
 
 
 @lru_cache(maxsize=2)
@@ -174,6 +255,13 @@ def _encoded(path: str):
     return run
 
 
+def _results(path: str, docs: list, made: list[np.ndarray]) -> pa.RecordBatch:
+    made = [ids.astype("<u4") for ids in made]
+    texts = [decode(path, ids).decode("utf-8", "replace") for ids in made]
+    return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array([x.tobytes() for x in made], pa.binary()),
+                                       pa.array(texts, pa.string())], RESULT)
+
+
 def _safe(path: str, ids: np.ndarray, from_end: bool) -> tuple[int, bytes] | None:
     """The last (or first) token that starts at a safe place, and the bytes behind it (or before it)."""
     lengths = token_bytes(path)[1]
@@ -231,24 +319,23 @@ def _assembled(path: str):
                     docs.append(doc)
                     parts.append(_repaired(path, [known[payload[i:i + 16]] for i in range(0, len(payload), 16)]))
             again = iter(encode(path, [x for p in parts for x in p if isinstance(x, bytes)]))
-            texts, made = [], []
+            made = []
             for p in parts:
                 ids = [next(again) if isinstance(x, bytes) else x for x in p]
-                ids = (np.concatenate(ids) if ids else np.empty(0)).astype("<u4")
-                made.append(ids.tobytes())
-                texts.append(decode(path, ids).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(made, pa.binary()),
-                                              pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+                made.append(np.concatenate(ids) if ids else np.empty(0))
+            yield _results(path, docs, made)
 
     return run
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Per row: doc_id, ids (little-endian 32-bit numbers), decoded (the text made from the ids)."""
-    cut = documents(docs).mapInArrow(_cut_up, ROWS)
+    texts, schema = documents(docs), "doc_id long, ids binary, decoded string"
+    bits = texts.sparkSession.sparkContext.broadcast(shared_filter(texts))
+    cut = texts.mapInArrow(_cut_up(bits), ROWS)
     made = cut.repartition("key").sortWithinPartitions("key").mapInArrow(_encoded(path), ROWS)
-    home = made.repartition("block").sortWithinPartitions("block", "kind")
-    return home.mapInArrow(_assembled(path), "doc_id long, ids binary, decoded string")
+    home = made.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_assembled(path), schema)
+    return texts.mapInArrow(_whole(path, bits), schema).unionByName(home)
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
