@@ -187,6 +187,3 @@ def info_rows(sections: list[tuple[str, DataFrame]]) -> DataFrame:
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
-
-def since(df: DataFrame, ts: str, as_of: str, days: int) -> DataFrame:
-    return df.filter(F.col(ts) > ago(as_of, "DAY", days))

@@ -17,7 +17,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docflow.functions.variants import error_object
 
@@ -146,6 +146,14 @@ def rule_columns(fields: dict) -> list[Column]:
     return out
 
 
+def readable(df: DataFrame, content_col: str) -> DataFrame:
+    """Bytes as text; ``_garbled`` marks bytes that are no UTF-8, which become NULL."""
+    if not isinstance(df.schema[content_col].dataType, T.BinaryType):
+        return df.withColumn("_garbled", F.lit(False))
+    text = F.try_validate_utf8(F.col(content_col).cast("string"))
+    return df.withColumn("_garbled", F.col(content_col).isNotNull() & text.isNull()).withColumn(content_col, text)
+
+
 def extract_fields(
     df: DataFrame, text_col: str, fields: dict,
     worker: Callable[[object, dict], dict] | None = None, partitions: int | None = None,
@@ -153,17 +161,19 @@ def extract_fields(
     """Adds ``extracted_json`` (VARIANT), ``processing_status`` and ``error_message``.
 
     A document nothing can be read from becomes an ``ERROR`` row with ``{"error": …}``; it
-    never fails the job. ``text_col`` is dropped. ``partitions`` spreads few large documents
+    never fails the job. ``text_col`` may hold bytes: a worker gets them as they are, the
+    built-in rules read them as UTF-8. It is dropped. ``partitions`` spreads few large documents
     over more tasks before a worker.
     """
     if worker is not None:
         return _with_worker(df, text_col, fields, worker, partitions)
+    source = readable(df, text_col)
     names = list(properties(fields))
     scalars = [n for n, s in properties(fields).items() if isinstance(s, str)]
-    found = read_text(df, text_col).withColumn("_f", F.struct(*rule_columns(fields), _label_value(CONTINUES).alias(CONTINUES)))
+    found = read_text(source, text_col).withColumn("_f", F.struct(*rule_columns(fields), _label_value(CONTINUES).alias(CONTINUES)))
     probe = [F.col(f"_f.{n}") for n in (scalars or names)]
     message = (
-        F.when(F.col(text_col).isNull(), "no text")
+        F.when(F.col("_garbled"), "not UTF-8 text").when(F.col(text_col).isNull(), "no text")
         .when(F.coalesce(*[p.cast("string") for p in probe]).isNull(), "no field found")
     )
     json_text = F.to_json(F.col("_f"))

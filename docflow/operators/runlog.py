@@ -111,25 +111,15 @@ def archive_older_than(df: DataFrame, ts: str, as_of: str, days: int = 90) -> tu
     return df.filter(~old), df.filter(old)
 
 
-def run_rows(spark: SparkSession, name: str, progress: list[dict]) -> DataFrame:
-    """Run-log rows of a finished streaming query, one per micro-batch."""
-    rows = [
-        (name, "SUCCEEDED", p["timestamp"], p["timestamp"], int(p.get("batchDuration") or 0), str(p["numInputRows"]))
-        for p in progress
-    ]
-    df = spark.createDataFrame(
-        rows, "name STRING, state STRING, scheduled STRING, started STRING, ms BIGINT, return_value STRING"
-    )
-    start = F.col("started").cast("timestamp_ntz")
-    return conform(
-        df.select(
-            "name", "state", F.col("scheduled").cast("timestamp_ntz").alias("scheduled_time"),
-            start.alias("query_start_time"),
-            F.expr("timestampadd(MILLISECOND, ms, CAST(started AS TIMESTAMP_NTZ))").alias("completed_time"),
-            "return_value",
-        ),
-        RUN_LOG,
+def run_row(spark: SparkSession, name: str, started, completed, rows: int | None, error: Exception | None = None) -> DataFrame:
+    """Run-log row of one run; ``rows`` it read, or the error it ended with."""
+    values = (
+        name, "FAILED" if error else "SUCCEEDED", started, started, completed, None if rows is None else str(rows),
+        type(error).__name__ if error else None, str(error) if error else None,
     )
+    return conform(spark.createDataFrame([values], (
+        "name STRING, state STRING, scheduled_time TIMESTAMP_NTZ, query_start_time TIMESTAMP_NTZ, completed_time TIMESTAMP_NTZ, "
+        "return_value STRING, error_code STRING, error_message STRING")), RUN_LOG)
 
 
 def append_run_log(rows: DataFrame, path: str) -> None:

@@ -8,8 +8,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 K1, B = 1.2, 0.75
@@ -146,13 +144,24 @@ def top_per_query(scored: DataFrame, k: int, item: str = "parsed_id") -> DataFra
 # ---- vectors -------------------------------------------------------------------------
 
 
-def embed(df: DataFrame, text_col: str, dims: int = 256) -> DataFrame:
-    """Default embedder: hashed TF-IDF, unit length, in ``embedding``."""
-    words = df.withColumn("_t", tokens(F.col(text_col)))
-    counted = HashingTF(numFeatures=dims, inputCol="_t", outputCol="_tf").transform(words)
-    weighted = IDF(inputCol="_tf", outputCol="_w").fit(counted).transform(counted)
-    unit = Normalizer(inputCol="_w", outputCol="_u").transform(weighted)
-    return unit.withColumn("embedding", vector_to_array("_u")).drop("_t", "_tf", "_w", "_u")
+def embed(df: DataFrame, text_col: str, dims: int = 256, id_col: str = "parsed_id") -> DataFrame:
+    """Default embedder: ``id_col`` and ``embedding``, TF-IDF over hashed words, unit length.
+
+    A word's bucket is its md5 modulo ``dims``. Counts and document frequencies are two aggregates, bounded by
+    ``dims`` rows per document; a text without words has the zero vector.
+    """
+    bucket = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("bigint") % dims
+    words = df.select(id_col, F.explode(tokens(F.col(text_col))).alias("term"))
+    counts = words.groupBy(id_col, bucket.cast("int").alias("bucket")).agg(F.count("*").alias("tf"))
+    spread = counts.groupBy("bucket").agg(F.count("*").alias("df"))
+    total = df.agg(F.count("*")).scalar()
+    idf = F.log((total + 1) / (F.col("df") + 1)) + 1
+    weights = counts.join(spread, "bucket").select(id_col, "bucket", (F.col("tf") * idf).alias("w"))
+    rows = weights.groupBy(id_col).agg(
+        F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("_m"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
+    buckets = F.sequence(F.lit(0), F.lit(dims - 1))
+    vector = F.transform(buckets, lambda b: F.coalesce(F.try_element_at("_m", b) / F.col("_n"), F.lit(0.0)))
+    return df.select(id_col).join(rows, id_col, "left").select(id_col, vector.alias("embedding"))
 
 
 def _unit(m: np.ndarray) -> np.ndarray:

@@ -11,11 +11,11 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from docflow.functions.variants import error_object
 from docflow.session import tune
 
 AS_OF_DATE = "2001-01-01"
 AS_OF = "2024-01-10 12:00:00"
-JOBS = {"click": "extract", "view": "parse"}
 # A document holds about this many lines; a longer order is one document in several parts.
 LINES_PER_DOCUMENT = 2000
 ID_RANGE = 1 << 60  # line ids are 60 bits of a hash
@@ -82,13 +82,13 @@ SQL = {
          CASE WHEN n_chars < 100 THEN 'ERROR' ELSE 'SUCCESS' END AS processing_status,
          CASE WHEN n_chars < 100 THEN 'text too short' END AS error_message
   FROM documents""",
-    "run_log": """SELECT CASE WHEN event_type = 'click' THEN 'extract' ELSE 'parse' END AS name,
+    "run_log": """SELECT CASE event_type WHEN 'click' THEN 'extract' WHEN 'view' THEN 'parse' ELSE event_type END AS name,
          CASE WHEN value > 200 THEN 'FAILED' ELSE 'SUCCEEDED' END AS state,
          ts AS scheduled_time, ts + INTERVAL '1' SECOND AS query_start_time,
          ts + INTERVAL '1' SECOND + CAST(ROUND(value) AS BIGINT) * INTERVAL '1' SECOND AS completed_time,
          props AS return_value, CASE WHEN value > 200 THEN 'TIMEOUT' END AS error_code,
          CASE WHEN value > 200 THEN CONCAT('run of user ', CAST(user_id AS VARCHAR)) END AS error_message
-  FROM events WHERE event_type IN ('click', 'view')""",
+  FROM events""",
     # Form documents: one per order, lines as form text.
     "app_header": """SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, s_name AS "VendorName",
          CONCAT('INV-', CAST(base_key AS VARCHAR)) AS "InvoiceNo",
@@ -287,8 +287,9 @@ class Tables:
     @cached_property
     def run_log(self) -> DataFrame:
         failed = F.col("value") > 200
-        return self.table("events").filter(F.col("event_type").isin(*JOBS)).select(
-            F.when(F.col("event_type") == "click", "extract").otherwise("parse").alias("name"),
+        kind = F.col("event_type")
+        return self.table("events").select(
+            F.when(kind == "click", "extract").when(kind == "view", "parse").otherwise(kind).alias("name"),
             F.when(failed, "FAILED").otherwise("SUCCEEDED").alias("state"),
             F.col("ts").alias("scheduled_time"),
             F.expr("timestampadd(SECOND, 1, ts)").alias("query_start_time"),
@@ -357,7 +358,7 @@ class Tables:
 
     @cached_property
     def raw_json(self) -> DataFrame:
-        """Landing rows of successful extractions with their JSON in one of three shapes:
+        """Landing rows, failed extractions with their error, the others with JSON in one of three shapes:
         nested with records (EUR), flat with parallel arrays (USD, Net 30), flat in an envelope."""
         return self._with_json(
             lambda flat, nested: F.when(F.col("currency") == "EUR", F.to_json(nested))
@@ -413,7 +414,8 @@ class Tables:
             "file_url", "file_size", "last_modified", F.parse_json(text(flat, nested)).alias("extracted_json"),
             "extraction_timestamp", F.lit("SUCCESS").alias("processing_status"),
             F.lit(None).cast("string").alias("error_message"),
-        )
+        ).unionByName(self.raw.filter("processing_status = 'ERROR'").withColumn(
+            "extracted_json", error_object(F.col("error_message"))))
 
     @cached_property
     def texts(self) -> DataFrame:

@@ -218,7 +218,7 @@ def _(t):
 @query("j1_path_access", with_tables("SELECT extraction_id, invoice_number, vendor_name, po_number FROM invoice", "invoice"))
 def _(t):
     v = F.col("_v")
-    return n.documents(t.raw_json).select(
+    return n.documents(n.successful(t.raw_json)).select(
         "extraction_id", text_at(v, "invoice_number").alias("invoice_number"),
         text_at(v, "vendor.name", "vendor").alias("vendor_name"), text_at(v, "po_number").alias("po_number"),
     )
@@ -391,7 +391,7 @@ def _(t):
 SELECT extraction_id, currency <> 'EUR' AND payment_terms <> 'Net 30' AS in_envelope, po_number FROM invoice""", "invoice"))
 def _(t):
     v = F.col("extracted_json")
-    return n.documents(t.raw_json).select(
+    return n.documents(n.successful(t.raw_json)).select(
         "extraction_id", F.try_variant_get(v, "$.response", "variant").isNotNull().alias("in_envelope"),
         text_at(unwrap(v), "po_number").alias("po_number"),
     )
@@ -400,7 +400,7 @@ def _(t):
 @query("e10_fallback_fields", with_tables("""
 SELECT extraction_id, COALESCE(invoice_number, po_number, 'UNKNOWN') AS reference FROM invoice""", "invoice"))
 def _(t):
-    return n.documents(t.raw_json).select(
+    return n.documents(n.successful(t.raw_json)).select(
         "extraction_id", first_of(F.col("_v"), "invoice_number", "po_number").alias("reference")
     )
 
@@ -409,7 +409,7 @@ def _(t):
 SELECT extraction_id, CASE WHEN invoice_number IS NULL THEN 'Missing invoice number' WHEN total_amount IS NULL THEN 'Missing total'
   WHEN total_amount <= 0 THEN 'Invalid total' ELSE 'Valid' END AS validation_status FROM invoice""", "invoice"))
 def _(t):
-    return n.documents(t.raw_json).select("extraction_id", n.validation_status(F.col("_v")).alias("validation_status"))
+    return n.documents(n.successful(t.raw_json)).select("extraction_id", n.validation_status(F.col("_v")).alias("validation_status"))
 
 
 @query("e12_split_header", with_tables("""

@@ -154,10 +154,16 @@ def _(t):
     return s.search_dense(t.table("embeddings"), centres(t), K).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query("h3b_embed_documents")
+@query("h3b_embed_documents", with_tables(f"""WITH {INDEX},
+  counts AS (SELECT parsed_id, CAST(CAST('0x' || SUBSTR(MD5(term), 1, 8) AS BIGINT) % 256 AS BIGINT) AS bucket, COUNT(*) AS tf
+    FROM words GROUP BY 1, 2),
+  spread AS (SELECT bucket, LN(((SELECT COUNT(*) FROM toks) + 1) / (COUNT(*) + 1)) + 1 AS idf FROM counts GROUP BY 1),
+  weights AS (SELECT parsed_id, c.bucket, tf * idf AS w FROM counts c JOIN spread s ON s.bucket = c.bucket)
+SELECT parsed_id, bucket, ROUND(w / SQRT(SUM(w * w) OVER (PARTITION BY parsed_id)), 6) AS weight FROM weights""", "parsed_invoices"))
 def _(t):
     ok = t.parsed.filter("processing_status = 'SUCCESS'").select("parsed_id", "extracted_text")
-    return s.embed(ok, "extracted_text").select("parsed_id", "embedding")
+    cells = s.embed(ok, "extracted_text").select("parsed_id", F.posexplode("embedding").alias("bucket", "w")).filter("w > 0")
+    return cells.select("parsed_id", F.col("bucket").cast("bigint").alias("bucket"), F.round("w", 6).alias("weight"))
 
 
 # Vector n belongs to document n; group 1 is the query's vector.

@@ -27,6 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``, or a new one for local tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="docflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:

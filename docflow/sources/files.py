@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 PDF = "*.[pP][dD][fF]"
+# Spark leaves out files that are older than the newest one by more than this; copies and backfills keep old dates.
+ANY_AGE = "100000d"
 
 
 def file_url(base: str, path: Column) -> Column:
@@ -56,6 +58,7 @@ def stream_files(
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
+        .option("maxFileAge", ANY_AGE)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
     )

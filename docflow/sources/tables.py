@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docflow.functions.casts import at
 from docflow.schemas import PARSED, RAW_JSON
+from docflow.sources.files import ANY_AGE
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -51,7 +52,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """Rows appended to a stored table since the last run of the checkpoint."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,13 +13,12 @@ from docflow.operators.documents import parse_documents
 from docflow.operators.extract import extract_fields
 from docflow.operators.normalize import parse_header, parse_lines
 from docflow.operators.quality import new_invoices
+from docflow.operators.runlog import append_run_log, run_row
 from docflow.operators.search import refresh_index
 from docflow.schemas import PARSED, RAW_JSON
 from docflow.sources.files import PDF, stream_files
 from docflow.sources.tables import conform, write_batch
 
-LATE = "2 hours"
-
 
 def trigger(every: str | None) -> dict:
     """``every`` such as ``'1 minute'`` keeps running; None takes what is there and stops."""
@@ -36,8 +36,7 @@ def start_extract_stream(
 ) -> StreamingQuery:
     """New files to rows of the landing table. The file sink's log makes each row appear once."""
     files = stream_files(spark, files_dir, pattern, max_files)
-    text = files.withColumn("_text", F.decode("content", "UTF-8")).drop("content")
-    rows = extract_fields(text, "_text", fields, worker)
+    rows = extract_fields(files, "content", fields, worker)
     raw = conform(
         rows.withColumn("extraction_id", F.xxhash64("file_name", "last_modified"))
         .withColumn("extraction_timestamp", _now(as_of)),
@@ -52,12 +51,12 @@ def start_extract_stream(
 def start_document_stream(
     spark: SparkSession, files_dir: str, parsed_path: str, checkpoint: str, pattern: str = "*",
     kind: str = "html", max_files: int | None = None, every: str | None = None, as_of: str | None = None,
+    worker: Callable | None = None,
 ) -> StreamingQuery:
-    """New files to rows of the parsed-document table."""
+    """New files to rows of the parsed-document table; a ``worker`` gets the bytes of each file."""
     files = stream_files(spark, files_dir, pattern, max_files)
-    text = files.withColumn("_text", F.decode("content", "UTF-8")).drop("content")
     parsed = conform(
-        parse_documents(text, "_text", kind=kind)
+        parse_documents(files, "content", kind=kind, worker=worker)
         .withColumn("parsed_id", F.xxhash64("file_name", "last_modified"))
         .withColumn("parse_timestamp", _now(as_of)),
         PARSED,
@@ -101,23 +100,55 @@ def start_index_stream(parsed: DataFrame, index_path: str, checkpoint: str, ever
     )
 
 
-def hourly_throughput(raw: DataFrame, late: str = LATE) -> DataFrame:
-    """Extractions per hour; an hour is final once the watermark has passed it."""
-    timed = raw.select(F.col("extraction_timestamp").cast("timestamp").alias("t"))
-    hour = F.window("t", "1 hour")
-    return timed.withWatermark("t", late).groupBy(hour.alias("w")).agg(
-        F.count("*").alias("invoices_processed")
-    ).select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "invoices_processed")
+def hourly_throughput(raw: DataFrame) -> DataFrame:
+    """Extractions per hour."""
+    hour = F.date_trunc("hour", F.col("extraction_timestamp")).cast("timestamp_ntz")
+    return raw.groupBy(hour.alias("hour")).agg(F.count("*").alias("invoices_processed"))
 
 
-def error_windows(raw: DataFrame, late: str = LATE) -> DataFrame:
+def error_windows(raw: DataFrame) -> DataFrame:
     """Errors in each hour, moving by five minutes."""
     timed = raw.filter(F.col("processing_status") == "ERROR").select(
         F.col("extraction_timestamp").cast("timestamp").alias("t")
     )
-    return timed.withWatermark("t", late).groupBy(F.window("t", "1 hour", "5 minutes").alias("w")).agg(
-        F.count("*").alias("error_count")
-    ).select(F.col("w.end").cast("timestamp_ntz").alias("window_end"), "error_count")
+    return timed.groupBy(F.window("t", "1 hour", "5 minutes").alias("w")).agg(F.count("*").alias("error_count")).select(
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "error_count")
+
+
+def start_counts(
+    df: DataFrame, counts: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """The counts of each micro-batch in a folder of its own, to be added up by ``read_counts``: no state, no
+    watermark, so a row counts however late it comes and the newest hours are there at once."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        write_batch(counts(batch), path, batch_id)
+
+    return df.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
+
+
+def read_counts(spark: SparkSession, path: str, key: str, count: str) -> DataFrame:
+    return spark.read.parquet(path).groupBy(key).agg(F.sum(count).alias(count))
+
+
+def start_logged(
+    df: DataFrame, name: str, write: Callable[[DataFrame, int], None], log_path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """``write(batch, batch_id)`` for each micro-batch and a row of the run log for each run; a run that fails is
+    logged with its error before the query stops."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        started, spark = datetime.now(timezone.utc).replace(tzinfo=None), batch.sparkSession
+        try:
+            write(batch, batch_id)
+            rows, error = batch.count(), None
+        except Exception as exc:
+            rows, error = None, exc
+        append_run_log(run_row(spark, name, started, datetime.now(timezone.utc).replace(tzinfo=None), rows, error), log_path)
+        if error is not None:
+            raise error
+
+    return df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
 
 
 def start_append(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

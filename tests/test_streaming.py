@@ -1,8 +1,10 @@
 """Incremental jobs: same result in many batches as in one, nothing twice."""
 
+import os
 import time
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from docflow.operators import normalize as n, runlog
@@ -71,7 +73,7 @@ def test_files_are_extracted_once_and_bad_ones_are_rows(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 3
 
 
-def test_late_rows_are_dropped_after_the_watermark(spark, tmp_path):
+def test_late_rows_are_counted(spark, tmp_path):
     t0 = datetime(2024, 1, 1)
     schema = "extraction_timestamp TIMESTAMP_NTZ, processing_status STRING"
 
@@ -82,15 +84,53 @@ def test_late_rows_are_dropped_after_the_watermark(spark, tmp_path):
 
     def run():
         df = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-        jobs.run_once([lambda: jobs.start_append(jobs.hourly_throughput(df), str(tmp_path / "out"), str(tmp_path / "c"))])
+        jobs.run_once([lambda: jobs.start_counts(df, jobs.hourly_throughput, str(tmp_path / "out"), str(tmp_path / "c"))])
 
     add(5, 10, 65)
-    add(300)  # moves the watermark to 03:00 for the next batch
-    add(301)  # gives out the first two hours
-    add(15, 310)  # 00:15 comes too late
+    add(300)
+    add(15, 310)  # 00:15 comes late
     run()
-    got = {r.hour: r.invoices_processed for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert got == {t0: 2, t0 + timedelta(hours=1): 1}
+    add(20)
+    run()
+    got = {r.hour: r.invoices_processed for r in jobs.read_counts(spark, str(tmp_path / "out"), "hour", "invoices_processed").collect()}
+    assert got == {t0: 4, t0 + timedelta(hours=1): 1, t0 + timedelta(hours=5): 2}
+
+
+def test_files_with_old_dates_are_delivered(spark, tmp_path):
+    files = tmp_path / "files"
+    files.mkdir()
+
+    def start():
+        return jobs.start_extract_stream(spark, str(files), str(tmp_path / "raw"), str(tmp_path / "c"), BASIC)
+
+    (files / "a.pdf").write_text("Invoice Number: A-1\n")
+    jobs.run_once([start])
+    (files / "b.pdf").write_text("Invoice Number: B-1\n")
+    old = time.time() - 30 * 86_400
+    os.utime(files / "b.pdf", (old, old))
+    jobs.run_once([start])
+    assert {r.file_name for r in spark.read.parquet(str(tmp_path / "raw")).collect()} == {"a.pdf", "b.pdf"}
+
+
+def test_bytes_that_are_no_text_are_a_row_and_reach_a_worker(spark, tmp_path):
+    files = tmp_path / "files"
+    files.mkdir()
+    (files / "good.pdf").write_text("Invoice Number: A-1\n")
+    (files / "bad.pdf").write_bytes(b"%PDF-1.7 \xff\xfe\x00")
+
+    def kind(content, fields):
+        return {"content": type(content).__name__, "size": str(len(content))}
+
+    jobs.run_once([
+        lambda: jobs.start_extract_stream(spark, str(files), str(tmp_path / "raw"), str(tmp_path / "c1"), BASIC),
+        lambda: jobs.start_document_stream(spark, str(files), str(tmp_path / "parsed"), str(tmp_path / "c2")),
+        lambda: jobs.start_document_stream(spark, str(files), str(tmp_path / "worked"), str(tmp_path / "c3"), worker=kind),
+    ])
+    for name in ("raw", "parsed"):
+        rows = {r.file_name: (r.processing_status, r.error_message) for r in spark.read.parquet(str(tmp_path / name)).collect()}
+        assert rows == {"good.pdf": ("SUCCESS", None), "bad.pdf": ("ERROR", "not UTF-8 text")}
+    worked = spark.read.parquet(str(tmp_path / "worked")).collect()
+    assert {r.extracted_text for r in worked} == {"bytes"} or {r.extracted_text for r in worked} == {"bytearray"}
 
 
 def test_numbers_stay_unique_across_batches_and_runs(spark, tmp_path):
@@ -116,11 +156,20 @@ def test_numbers_stay_unique_across_batches_and_runs(spark, tmp_path):
     assert sorted(r.invoice_id for r in stored.collect()) == [1, 2, 3, 5, 8]
 
 
-def test_run_log(spark, tmp_path):
-    progress = [{"timestamp": "2024-01-01T00:00:00.000Z", "batchDuration": 2500, "numInputRows": 7}]
-    rows = runlog.run_rows(spark, "extract", progress)
-    runlog.append_run_log(rows, str(tmp_path / "log"))
-    runlog.append_run_log(rows, str(tmp_path / "log"))
-    got = runlog.with_duration(spark.read.parquet(str(tmp_path / "log"))).collect()
-    assert [(r.name, r.return_value, r.execution_seconds) for r in got] == [("extract", "7", 2)] * 2
+def test_run_log_has_every_batch_and_the_failed_run(spark, tmp_path):
+    for i in range(12):
+        spark.range(i, i + 2).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = stream_table(spark, str(tmp_path / "in"), spark.range(1).schema, max_files=1)
+
+    def write(batch, batch_id):
+        if batch_id == 11:
+            raise RuntimeError("disk full")
+
+    start = lambda: jobs.start_logged(stream, "load", write, str(tmp_path / "log"), str(tmp_path / "c"))
+    with pytest.raises(Exception, match="disk full"):
+        jobs.run_once([start])
+    rows = runlog.with_duration(spark.read.parquet(str(tmp_path / "log"))).collect()
+    assert [r.return_value for r in rows if r.state == "SUCCEEDED"] == ["2"] * 11
+    (failed,) = [r for r in rows if r.state == "FAILED"]
+    assert (failed.error_code, failed.error_message, failed.return_value) == ("RuntimeError", "disk full", None)
     assert runlog.log_line(spark, "2024-01-01 00:00:00", "parse", "INFO", "done").first().message == "done"
