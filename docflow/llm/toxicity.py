@@ -22,7 +22,7 @@ from docflow.llm.common import documents, id_bucket, utf8, words
 from docflow.llm.hashing import joined
 from docflow.llm.labels import labelled_sample
 
-SAMPLE_ROWS = 8000  # labelled texts the model is trained on, half of each label
+SAMPLE_ROWS = 6000  # labelled texts the model is trained on, half of each label
 BITS = 20
 DIM = 8
 NGRAMS = (3, 4, 5, 6)
@@ -87,9 +87,11 @@ def train(texts: list[bytes], y: np.ndarray, weight: np.ndarray, seed: int = 7)
     """The n-gram table times the softmax direction, and the bias."""
     rng = np.random.default_rng(seed)
     bags = _bags(texts)
-    spread = np.bincount(np.concatenate([ids for ids, _ in bags]), minlength=1 << BITS) if bags else 0
+    spread = np.zeros(1 << BITS, np.int32)
+    for ids, _ in bags:
+        spread[ids] += 1
     bags = [(ids[k], share[k]) for ids, share in bags for k in [spread[ids] >= MIN_TEXTS]]
-    table = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
+    table = (rng.random((1 << BITS, DIM), np.float32) * 2 - 1) / DIM
     softmax, bias = rng.normal(0, 1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     seen, seen_s, seen_b = np.full(1 << BITS, 1e-6, np.float32), np.full((DIM, 2), 1e-6), np.full(2, 1e-6)
     for epoch in range(EPOCHS):
