@@ -5,8 +5,8 @@
 intersects them, and confirms the surviving starts by intersecting the postings of the window's other words.
 ``proximity`` returns documents that hold all words of a window within a stretch, in any order.
 
-DataFrame functions only. Windows and the words of the test set are broadcast when their counted size is below
-``BROADCAST_ROWS``, otherwise they are joined by shuffle.
+DataFrame functions only. Windows and the words of the test set are broadcast when their counted size is below a
+bound (``common.small``), otherwise they are joined by shuffle.
 
 Words are ``[0-9a-z]`` and all characters outside ASCII, after A-Z became a-z. Null and empty texts have no words and
 no hits. Each input row is a document of its own, also when ids repeat or are null. An item of fewer words than a
@@ -20,10 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docflow.llm.common import documents, written
+from docflow.llm.common import documents, small, written
 
 WINDOW = 10
-BROADCAST_ROWS = 1_000_000  # of a few numbers or one word each
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Characters outside ASCII that lower() would change too: there, A-Z are translated one by one.
@@ -37,11 +36,6 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(lowered, BREAK), "")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``BROADCAST_ROWS`` rows; otherwise as it is."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     """(window_id, item_id, words): each ``size`` consecutive words of an item."""
     texts = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
