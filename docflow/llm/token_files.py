@@ -6,8 +6,8 @@ numbers (32-bit for vocabularies beyond 65,536). A file holds at most ``FILE_BYT
 manifest, one row a file, is a table; ``start`` of a document is the sum of the ids of all files before plus its
 boundary in the file.
 
-Texts are split at white space, which the tokenizer drops, and each distinct word of a task is encoded once with the
-tokenizers library; a bounded table keeps the words' ids. Null texts count as empty; an empty text has the end id
+Texts are split where the tokenizer encodes the parts independently (white space, which it drops, and points and commas
+behind words), and distinct words are encoded with the tokenizers library; a bounded table keeps the words' ids. Null texts count as empty; an empty text has the end id
 alone. Rows that share a doc_id follow each other by text; rows with a null id come first. An empty table makes no files.
 Files are written under a name of their own for each task attempt and enter the manifest with the attempt that counts.
 """
@@ -19,6 +19,8 @@ import re
 import struct
 import uuid
 import zlib
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,34 +37,78 @@ from docflow.session import shared_dir
 
 END_ID = 1
 FILE_BYTES = 16 << 20
-KNOWN_WORDS = 400_000  # words whose ids a task keeps
+KNOWN_WORDS = 300_000  # words whose ids a worker keeps; further ones are encoded again
+PIECE = 4 << 20  # bytes of text taken at once
+READ_TASKS = 10_000
 HEAD = "<8sBQQ"  # magic, bytes an id, documents, bytes of the boundaries
 MAGIC = b"IDSEF001"
 NULL_ID = -(2**63)  # stands for a null document id in a file; also the id it sorts as
-# The white space that the tokenizer's own expression drops; Python's str.split() would split at more.
-BLANK = re.compile("[\t-\r \x85\xa0  -     　]+")
+SEPARATOR = "\x01"  # a piece of its own and one id; words that hold it are encoded by themselves
+# The white space that the tokenizer's own expression drops; Python's str.split() would also split at \x1c-\x1f.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANK, ODD = re.compile(f"[{WHITE}]+"), re.compile("[\x1c-\x1f]")
+# A point or comma behind a letter or digit is a piece of its own, so the word before it is the same as without.
+MARK = re.compile(rf"(?<=[^\W_])([.,])(?=[{WHITE}]|\Z)")
+# Marks that join the letter before them, in some cases only a small one.
+JOINING = re.compile("[\u02be\u0300-\u036f]")
+
+
+def pieces(raw: bytes) -> list[str]:
+    """Parts of a text that the tokenizer encodes independently, A-Z in lower case as it would make them."""
+    text = raw.decode()
+    if b"<|" not in raw:  # else special tokens, which it finds as they are written
+        if text.isascii() or not JOINING.search(text):
+            text = raw.lower().decode()
+        text = MARK.sub(r" \1", text)
+    return [w for w in BLANK.split(text) if w] if ODD.search(text) else text.split()
+
+
+@lru_cache(maxsize=2)
+def known_words(path: str) -> dict[str, bytes]:
+    """Ids of words; a Python worker keeps them from task to task."""
+    return {}
+
+
+def encode_words(path: str, found: list[str], kind: str) -> dict[str, bytes]:
+    """The library's ids of each word, some hundred words at a time with separators between them."""
+    encode = tokenizer(path).encode_batch_fast
+    odd = [w for w in found if SEPARATOR in w]
+    plain = [w for w in found if SEPARATOR not in w] if odd else found
+    out = {w: np.array(e.ids, kind).tobytes() for w, e in zip(odd, encode(odd, add_special_tokens=False))}
+    (separator,) = encode([SEPARATOR], add_special_tokens=False)[0].ids
+    for start in range(0, len(plain), 256):
+        group = plain[start:start + 256]
+        ids = np.array(encode([f" {SEPARATOR} ".join(group)], add_special_tokens=False)[0].ids, kind)
+        ends = [*np.flatnonzero(ids == separator).tolist(), len(ids)]
+        data, width, at = ids.tobytes(), ids.itemsize, 0
+        for word, end in zip(group, ends, strict=True):
+            out[word] = data[at * width:end * width]
+            at = end + 1
+    return out
 
 
 def _ids(path: str, end_id: int):
     def run(batches):
-        encode, known = tokenizer(path).encode_batch_fast, {}
-        wide = tokenizer(path).get_vocab_size() > 65_536
-        kind = "<u4" if wide else "<u2"
+        known = known_words(path)
+        kind = "<u4" if tokenizer(path).get_vocab_size() > 65_536 else "<u2"
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
-            docs = batch.column(0).to_pylist()
-            out = []
-            for text in batch.column(1).to_pylist():
-                found = [w for w in BLANK.split(text or "") if w]
-                new = [w for w in dict.fromkeys(found) if w not in known]
-                if len(known) + len(new) > KNOWN_WORDS:
-                    known, new = {}, list(dict.fromkeys(found))
-                if new:
-                    made = encode(new, add_special_tokens=False)
-                    known.update((w, np.array(e.ids, kind).tobytes()) for w, e in zip(new, made))
-                out.append(b"".join([known[w] for w in found]) + end)
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(out, pa.binary()),
-                                              pa.array([4 if wide else 2] * len(out), pa.int32())], ["doc_id", "ids", "width"])
+            docs, raws, at = batch.column(0), utf8(batch.column(1)), 0
+            while at < len(raws):
+                size, stop = 0, at
+                while stop < len(raws) and size < PIECE:
+                    size += len(raws[stop])
+                    stop += 1
+                texts = [pieces(raw) for raw in raws[at:stop]]
+                found = dict.fromkeys(chain.from_iterable(texts))
+                made = encode_words(path, [w for w in found if w not in known], kind)
+                if len(known) + len(made) <= KNOWN_WORDS:
+                    known.update(made)
+                made.update((w, known[w]) for w in found if w in known)
+                out = [b"".join(map(made.__getitem__, t)) + end for t in texts]
+                yield pa.RecordBatch.from_arrays([docs.slice(at, stop - at), pa.array(out, pa.binary()), pa.array(
+                    [int(kind[2])] * len(out), pa.int32())], ["doc_id", "ids", "width"])
+                at = stop
 
     return run
 
@@ -166,8 +212,9 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("part_ids").over(before), F.lit(0)).alias("before_part"))
     within = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = max(1, min(manifest.count(), READ_TASKS))
     files = manifest.withColumn("before", F.coalesce(F.sum("ids").over(within), F.lit(0))).join(parts, "part")
-    return files.select("name", (F.col("before") + F.col("before_part")).alias("before")).repartition("name").mapInArrow(
+    return files.select("name", (F.col("before") + F.col("before_part")).alias("before")).repartition(tasks, "name").mapInArrow(
         _read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
