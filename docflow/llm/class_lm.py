@@ -91,17 +91,24 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
 
+def _ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a list column, and where each row's begin."""
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
 def _class_counts(classes):
     """A task's share of the class bigrams."""
+    n_classes = CLASSES + 2
 
     def run(batches):
-        c, total = classes, None
+        total = np.zeros(n_classes * n_classes)
         for batch in batches:
-            total = np.zeros((CLASSES + 2, CLASSES + 2)) if total is None else total
-            for w, other, n in zip(batch.column("w").to_pylist(), batch.column("next").to_pylist(), batch.column("n_next").to_pylist()):
-                np.add.at(total[c[w]], c[np.array(other, int)], np.array(n, float))
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+            other, at = _ragged(batch.column("next"))
+            own = np.repeat(batch.column("w").to_numpy(zero_copy_only=False), np.diff(at))
+            pair = classes[own] * n_classes + classes[other.astype(np.int64)]
+            total += np.bincount(pair, _ragged(batch.column("n_next"))[0].astype(float), len(total))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
 
     return run
 
@@ -120,12 +127,14 @@ def _moves(classes, counts, turn: int):
     def run(batches):
         for batch in batches:
             moved = []
-            rows = zip(*(batch.column(k).to_pylist() for k in ("w", "next", "n_next", "before", "n_before")))
-            for w, after, n_after, before, n_before in rows:
+            (after, at), (n_after, _) = _ragged(batch.column("next")), _ragged(batch.column("n_next"))
+            (before, to), (n_before, _) = _ragged(batch.column("before")), _ragged(batch.column("n_before"))
+            for i, w in enumerate(batch.column("w").to_pylist()):
                 if w in (END, REST) or w % 2 != turn % 2:
                     continue
-                s = np.bincount(classes[np.array(after, int)], np.array(n_after, float), CLASSES + 2)
-                p = np.bincount(classes[np.array(before, int)], np.array(n_before, float), CLASSES + 2)
+                part, back = slice(at[i], at[i + 1]), slice(to[i], to[i + 1])
+                s = np.bincount(classes[after[part]], n_after[part].astype(float), CLASSES + 2)
+                p = np.bincount(classes[before[back]], n_before[back].astype(float), CLASSES + 2)
                 n, own, rest = s.sum(), classes[w], counts.copy()
                 rest[own] -= s
                 rest[:, own] -= p
@@ -147,12 +156,12 @@ def exchange(contexts: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.
     classes[END], classes[REST] = CLASSES, CLASSES + 1
 
     def counted() -> np.ndarray:
-        parts = contexts.mapInArrow(_class_counts(classes), "counts binary").toLocalIterator()
+        parts = contexts.mapInArrow(_class_counts(classes), "counts binary").collect()
         return sum((np.frombuffer(r.counts).reshape(CLASSES + 2, -1) for r in parts), np.zeros((CLASSES + 2, CLASSES + 2)))
 
     counts = counted()
     for turn in range(2 * rounds):
-        moved = {r.w: r.c for r in contexts.mapInArrow(_moves(classes, counts, turn), "w int, c int").toLocalIterator()}
+        moved = {r.w: r.c for r in contexts.mapInArrow(_moves(classes, counts, turn), "w int, c int").collect()}
         changed = [w for w, c in moved.items() if classes[w] != c]
         if not changed and turn:
             break

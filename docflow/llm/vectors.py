@@ -182,7 +182,7 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
         share = min(1.0, SAMPLE / total)
         drawn = nodes.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20))).select(
             "unit").limit(2 * SAMPLE)
-        sample = np.frombuffer(b"".join(r.unit for r in drawn.toLocalIterator()), "<f8")
+        sample = np.frombuffer(b"".join(r.unit for r in drawn.collect()), "<f8")
         sample = sample.reshape(-1, len(nodes.first().unit) // 8)
         trees = [fit(sample, depth, np.random.default_rng([seed, t])) for t in range(TREES)]
     shared = nodes.sparkSession.sparkContext.broadcast(trees)
