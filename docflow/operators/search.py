@@ -18,6 +18,8 @@ ATTRIBUTES = ["file_name", "file_url", "file_size", "last_modified", "parse_time
 BROADCAST_ROWS = 200_000
 # Numbers of one block of query vectors held by every task (64 MB of doubles).
 BLOCK_NUMBERS = 8_000_000
+# Scores a task holds at once.
+TILE_SCORES = 4_000_000
 SALTS = 32
 
 
@@ -210,11 +212,13 @@ def _dense_pass(vectors: DataFrame, queries: DataFrame, k: int, item: str, exclu
                 continue
             ids = pdf[item].to_numpy()
             m = _unit(np.array(pdf["e"].tolist(), dtype="float64"))
-            scores = np.round(m @ q.T, 6)
-            none = np.zeros(len(ids), dtype=bool)
-            picks = [_best(ids, scores[:, j], (ids == one) if exclude_self else none, k) for j, one in enumerate(qid)]
-            pick, j = np.concatenate(picks), np.repeat(np.arange(len(qid)), [len(p) for p in picks])
-            yield pd.DataFrame({"query_id": qid[j], item: ids[pick], "score": scores[pick, j]})
+            for at in range(0, len(ids), max(1, TILE_SCORES // len(qid))):
+                part = slice(at, at + max(1, TILE_SCORES // len(qid)))
+                scores, own = np.round(m[part] @ q.T, 6), ids[part]
+                none = np.zeros(len(own), dtype=bool)
+                picks = [_best(own, scores[:, j], (own == one) if exclude_self else none, k) for j, one in enumerate(qid)]
+                pick, j = np.concatenate(picks), np.repeat(np.arange(len(qid)), [len(p) for p in picks])
+                yield pd.DataFrame({"query_id": qid[j], item: own[pick], "score": scores[pick, j]})
 
     source = vectors.select(item, F.col("embedding").cast("array<double>").alias("e"))
     kind = vectors.schema[item].dataType.simpleString()

@@ -72,11 +72,12 @@ def start_parse_stream(
 ) -> StreamingQuery:
     """New landing rows to headers and lines. Both come from the same batch, read twice from
     its files (cheaper than holding the documents); a batch that is run again replaces its
-    own folders."""
+    own folders. A batch is published when both are written."""
 
     def both(batch: DataFrame, batch_id: int) -> None:
         write_batch(parse_header(batch), f"{tables_path}/invoice", batch_id)
         write_batch(parse_lines(batch, pad), f"{tables_path}/invoice_detail", batch_id)
+        write_batch(batch.sparkSession.range(1), f"{tables_path}/published", batch_id)
 
     return (
         raw.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
@@ -84,8 +85,11 @@ def start_parse_stream(
 
 
 def read_tables(spark: SparkSession, tables_path: str) -> tuple[DataFrame, DataFrame]:
+    """Headers and lines of the published batches: never headers without their lines."""
+    published = spark.read.parquet(f"{tables_path}/published").select("batch_id")
     return tuple(
-        spark.read.parquet(f"{tables_path}/{name}").drop("batch_id") for name in ("invoice", "invoice_detail")
+        spark.read.parquet(f"{tables_path}/{name}").join(published, "batch_id", "left_semi").drop("batch_id")
+        for name in ("invoice", "invoice_detail")
     )
 
 
