@@ -148,7 +148,8 @@ def _tiles(near: DataFrame) -> DataFrame:
                          "weights": pa.array([table["weight"].to_numpy().astype("<i8").tobytes()], pa.binary()),
                          "units": pa.array([units], pa.binary())})
 
-    blocks = written(placed.groupBy("component", "block").applyInArrow(
+    # by both keys: the join above has dealt whole components to tasks
+    blocks = written(placed.repartition("component", "block").groupBy("component", "block").applyInArrow(
         packed, "component long, block int, blocks int, nodes binary, weights binary, units binary"), "blocks")
     left = blocks.select("component", "nodes", "units", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     right = blocks.select("component", "block", F.col("nodes").alias("nodes2"), F.col("weights"), F.col("units").alias("units2"))
