@@ -5,7 +5,7 @@ of its n-gram vectors, and a softmax over two classes reads that mean. Table and
 numpy with AdaGrad. An unseen misspelling shares most n-grams with the word it comes from. Because the mean is
 linear, a text's score needs one number per n-gram: its vector times the softmax direction.
 
-Null texts and texts without letters score the bias alone. Repeated rows get equal scores. Without labels of both
+Null texts and texts without letters score the share of toxic labels. Repeated rows get equal scores. Without labels of both
 kinds, every score is the share of toxic labels (0 without labels).
 """
 
@@ -29,7 +29,7 @@ NGRAMS = (3, 4, 5, 6)
 MIN_TEXTS = 5  # n-grams of fewer sampled texts keep a zero vector: names and random words teach nothing
 SCALE = np.float32(10)  # of the mean, so that a few n-grams in a long text move the softmax
 SMOOTH = 100  # added to the number of n-grams in a mean: a few n-grams alone decide little
-EPOCHS = 8
+EPOCHS = 12
 RATE = 0.5
 PIECE = 4 << 20  # bytes hashed at once
 
@@ -133,7 +133,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     if len({y for _, y in sample}) < 2:
         return Model(np.zeros(0, np.float32), 0.0, prior, False)
     y = np.array([y for _, y in sample])
-    weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean())).astype(np.float32)
+    # half way between equal classes and their shares, in the logarithm: a missed toxic text costs more than its share
+    share = np.sqrt(prior) / (np.sqrt(prior) + np.sqrt(1 - prior))
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())).astype(np.float32)
     table, bias = train([t for t, _ in sample], y, weight)
     return Model(table, bias, prior, True)
 
@@ -143,7 +145,8 @@ def _logits(texts: list[bytes], model: Model) -> np.ndarray:
     for buckets, owner in ngrams(texts):
         total += np.bincount(owner, model.table[buckets], len(texts))
         count += np.bincount(owner, minlength=len(texts))
-    return total / (count + SMOOTH) + model.bias
+    share = min(max(model.prior, 1e-6), 1 - 1e-6)
+    return np.where(count > 0, total / (count + SMOOTH) + model.bias, np.log(share / (1 - share)))
 
 
 def scorer(model: Model):
