@@ -225,6 +225,22 @@ def test_blocks(html, text):
     assert "\n\n".join(pages.blocks(html)[1]) == text
 
 
+@pytest.mark.parametrize("html, texts", [
+    ("<article><p class='ad'>x<p>y</p><p>z</p></article>", ["y", "z"]),
+    ("<article><ul><li class=ad>x<li>y</ul><p>z</article>", ["y", "z"]),
+    ("<article><p class=ad>x<span>x</span><div>y</div><div class=ad>x<p>x<div>x</div>x</div>z</article>", ["y", "z"]),
+    ("<div><p class=ad>x</div>y<p>a<span class=ad>x</p><p>z", ["y", "a", "z"]),
+    ("<table><tr class=ad><td>x<tr><td class=ad>x<td>y<tr><td>z</table>", ["y", "z"]),
+    ("<table><tr><td class=ad>x<table><tr><td>x</table>x<td>y</table>z", ["y", "z"]),
+    ("<dl><dt class=ad>x<dd>y<dd class=ad>x</dl>z", ["y", "z"]),
+    ("<article><article class=related>x</article>y<div class=ad>x</article>", ["y"]),
+    ("<head><title>x</title><meta name=x><body><p>y", ["y"]), ("<head><title>x</title>y<p>z", ["y", "z"]),
+    ("<p>5 < 6</p><p>a <> b <3 & c<</p>", ["5 < 6", "a <> b <3 & c<"]), ("<!doctype html><p>y</ z>z<?x?>", ["yz"]),
+])
+def test_blocks_end_where_html_ends_them(html, texts):
+    assert pages.blocks(html)[1] == texts
+
+
 def test_pages_without_marks_lose_what_their_host_repeats(spark, monkeypatch):
     monkeypatch.setattr(pages, "SHARD", 16)  # a hot host is split; the counts of its shards add up
     menu, foot = "Home News About Contact Login Register Search Help", "All rights reserved by the owner of this site"
