@@ -2,7 +2,7 @@
 
 STAGES are (name, function); a function takes (spark, docs, sf_dir) and its result, written and read again, is the
 next one's docs. All but the last keep the columns of ``documents``. Tables besides the documents come from sf_dir.
-Rows that share a doc_id (null too) count as one document where a stage drops documents by id; of copies one row stays.
+Every row is judged by its own text, also when rows share a doc_id or have none; of linked rows one stays.
 Empty tables pass through as empty tables.
 """
 
@@ -26,15 +26,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join (8): of each group of linked documents the one with the smallest id stays."""
+    """N-gram Jaccard join (8): of each group of linked rows one with the smallest id stays."""
     prepare(spark)
     return jaccard.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination (3): documents that hold a window of a test item go."""
+    """Benchmark decontamination (3): rows that hold a window of a test item go."""
     prepare(spark)
-    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.drop_contaminated_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

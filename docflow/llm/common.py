@@ -59,3 +59,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/docflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Stored rows (row_key, row): each row of ``docs``, whatever its columns, under a key of its own."""
+    row = F.struct([docs[c] for c in docs.columns]).alias("row")
+    return written(docs.select(F.monotonically_increasing_id().alias("row_key"), row), "keyed")
+
+
+def texts_of(rows: DataFrame) -> DataFrame:
+    """The texts of ``keyed`` rows, the key as doc_id: operators judge each row alone, also when ids repeat or are null."""
+    return rows.select(F.col("row_key").alias("doc_id"), F.col("row").getField("text").alias("text"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docflow.llm.common import documents, small, written
+from docflow.llm.common import documents, keyed, small, texts_of, written
 
 WINDOW = 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -140,3 +140,10 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) ->
     bad = written(contamination(docs, items, size).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct(), "bad")
     kept = docs.select([F.col(c) for c in docs.columns])
     return kept.join(small(bad), kept["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+
+
+def drop_contaminated_rows(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows that hold a window of a test item; other rows stay, also those that share an id with one."""
+    rows = keyed(docs)
+    bad = written(contamination(texts_of(rows), items, size).where("contaminated").select(F.col("doc_id").alias("row_key")), "bad")
+    return rows.join(small(bad), "row_key", "left_anti").select("row.*")

@@ -65,6 +65,23 @@ def test_stages_take_effect_and_keep_the_columns(spark, folder, tmp_path, monkey
     assert len(tokens) == len(masked)
 
 
+def test_rows_that_share_an_id_are_judged_alone(spark, folder, tmp_path):
+    rng = random.Random(4)
+    item, copied = spark.read.parquet(f"{folder}/benchmark.parquet").first().text, sentence(rng, 50)
+    clean = [sentence(rng, 50) for _ in range(6)]
+    rows = [(7, f"{item} {sentence(rng, 40)}"), (7, clean[0]), (7, clean[1]), (None, f"{sentence(rng, 40)} {item}"), (None, clean[2]), (None, clean[3]), (8, clean[4]),
+            (8, clean[5]), (9, copied), (4, copied), (4, ""), (4, ""), (None, copied)]
+    docs = prepare(spark).createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, row_key string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    apart = corpus_pipeline.drop_leaks(spark, docs, folder)
+    assert apart.schema == docs.schema
+    assert Counter(map(tuple, apart.collect())) == Counter((*r, "k") for r in rows if item not in r[1])
+    single = corpus_pipeline.drop_copies(spark, docs, folder)
+    assert single.schema == docs.schema
+    assert Counter(map(tuple, single.collect())) == Counter((*r, "k") for r in rows if r not in ((9, copied), (None, copied)))
+
+
 def test_run_is_the_stages_and_takes_empty_tables(spark, folder, tmp_path):
     assert corpus_pipeline.run(spark, folder).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     for name in ("documents", "labels", "benchmark"):
