@@ -5,6 +5,9 @@ both sides (spill), so close pairs rarely part. The upper levels of the trees ar
 route every vector; what arrives at one node is split further in the task that gets it, down to leaves of bounded
 size. Vectors are compared within leaves in double precision, and those with the wanted cosine are united; from a
 leaf only the links of a spanning forest leave, not all pairs. The components come from all leaves of all trees.
+A pair that nothing else links is found if one tree keeps it together, so the number of trees follows from the depth
+and ``RECALL``: pairs at the wanted cosine are made from the sample and sent down trees over it, which gives the share
+that a level parts; levels below the sample count as the worst of those measured.
 Within a component, vectors are then compared block by block to count each one's links: one row for a vector and
 block, never one for a pair, and a component of any size is spread over tasks.
 
@@ -16,6 +19,7 @@ with a null id are compared too, but named by null. Empty tables give empty resu
 from __future__ import annotations
 
 import hashlib
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +31,11 @@ from docflow.llm.common import written
 from docflow.llm.graph import components
 
 COSINE = 0.9
-TREES = 4
+TREES = 4  # at least
+RECALL = 0.999  # share of pairs at COSINE, linked by nothing else, that some tree is to keep together
+MOST_TREES = 64  # beyond them a warning tells the recall to expect
+PROBES = 1024  # such pairs made for a tree that is measured
+MEASURED = 4  # trees measured
 LEAF = 384  # vectors compared with each other at most
 SPILL = 0.12  # share of a node's vectors that goes to both sides
 NODE = 6000  # vectors of a node that one task splits further, about
@@ -75,6 +83,56 @@ def route(tree: Split | None, x: np.ndarray, rows: np.ndarray, name: int = 1):
     yield from route(tree.right, x, rows[at >= tree.low], 2 * name + 1)
 
 
+def _probes(sample: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs at ``COSINE``: sample vectors, turned towards other sample vectors in one half and anywhere in the other."""
+    x = sample[rng.integers(0, len(sample), PROBES)]
+    to = rng.normal(size=x.shape)
+    to[::2] = sample[rng.integers(0, len(sample), len(to[::2]))]
+    to -= (to * x).sum(1, keepdims=True) * x
+    norm = np.linalg.norm(to, axis=1)
+    x, to = x[norm > 1e-6], to[norm > 1e-6]
+    return x, COSINE * x + np.sqrt(1 - COSINE**2) * _unit(to)
+
+
+def kept_together(sample: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Share of probe pairs that a tree over ``sample`` holds in one node, for each level from 0 on."""
+    x, y = _probes(sample, rng)
+    shares, nodes = [1.0], [(sample, np.arange(len(x)))]
+    while nodes and len(x):
+        below, alive = [], np.zeros(len(x), bool)
+        for rows, pairs in nodes:
+            direction, low, high = _cut(rows, rng)
+            at, a, b = rows @ direction, x[pairs] @ direction, y[pairs] @ direction
+            for side, both in ((at <= high, (a <= high) & (b <= high)), (at >= low, (a >= low) & (b >= low))):
+                alive[pairs[both]] = True
+                below.append((rows[side], pairs[both]))
+        shares.append(float(alive.mean()))
+        # a level counts as a whole, so no node of the next one may be too small for its quantiles
+        nodes = below if min(len(rows) for rows, _ in below) >= 64 else []
+    return np.array(shares)
+
+
+def survival(sample: np.ndarray, levels: int, rng: np.random.Generator) -> float:
+    """Share of pairs at ``COSINE`` that one tree of so many levels holds together."""
+    measured = [kept_together(sample, rng) for _ in range(MEASURED)]
+    shares = np.mean([m[:min(map(len, measured))] for m in measured], axis=0)[:levels + 1]
+    worst = (shares[1:] / np.maximum(shares[:-1], 1e-12)).min(initial=1.0)
+    return float(shares[-1] * worst ** (levels + 1 - len(shares)))
+
+
+def n_trees(share: float) -> int:
+    """Trees after which a pair that each holds together with probability ``share`` has met with probability ``RECALL``."""
+    wanted = TREES if share >= 1 else max(TREES, int(np.ceil(np.log(1 - RECALL) / np.log1p(-max(share, 1e-9)))))
+    if wanted > MOST_TREES:
+        warnings.warn(f"{MOST_TREES} of {wanted} trees: isolated pairs are found with about {1 - (1 - share) ** MOST_TREES:.3f}", stacklevel=2)
+    return min(wanted, MOST_TREES)
+
+
+def _levels(total: int, least: int) -> int:
+    """Splits until a node of ``total`` vectors has about ``least``."""
+    return max(0, int(np.ceil(np.log(max(total, 1) / least) / -np.log(0.5 + SPILL / 2))))
+
+
 def leaves(x: np.ndarray, rows: np.ndarray, rng: np.random.Generator):
     """Splits by rank until a leaf is small: equal projections cannot keep a node large."""
     if len(rows) <= LEAF:
@@ -177,15 +235,16 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
     nodes = units.where("unit is not null").groupBy("unit").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     total = nodes.count()
-    depth = max(0, int(np.ceil(np.log(max(total, 1) / NODE) / -np.log(0.5 + SPILL / 2)))) if total > NODE else 0
+    depth = _levels(total, NODE)
     trees: list[Split | None] = [None] * TREES
-    if depth:
+    if total > LEAF:
         share = min(1.0, SAMPLE / total)
         drawn = nodes.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20))).select(
             "unit").limit(2 * SAMPLE)
         sample = np.frombuffer(b"".join(r.unit for r in drawn.collect()), "<f8")
         sample = sample.reshape(-1, len(nodes.first().unit) // 8)
-        trees = [fit(sample, depth, np.random.default_rng([seed, t])) for t in range(TREES)]
+        several = n_trees(survival(sample, _levels(total, LEAF), np.random.default_rng([seed, 1 << 20])))
+        trees = [fit(sample, depth, np.random.default_rng([seed, t])) for t in range(several)]
     shared = nodes.sparkSession.sparkContext.broadcast(trees)
 
     def routed(batches):

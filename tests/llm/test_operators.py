@@ -453,3 +453,25 @@ def test_vectors_in_forest_and_tiles(spark, monkeypatch):
     assert len({got[i].component_id for i in range(100, 220)}) == 1 and all(got[i].component_id == 220 for i in range(220, 260))
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i, *_ in odd)
     assert vectors.near_duplicates(table.where("vec_id < 0")).count() == 0
+
+
+def test_pairs_that_nothing_else_links_are_found(spark, monkeypatch):
+    for name, value in (("LEAF", 8), ("NODE", 20), ("SAMPLE", 5000)):
+        monkeypatch.setattr(vectors, name, value)
+    rng = np.random.default_rng(6)
+    x = vectors._unit(rng.normal(size=(4000, 32)))
+    to = rng.normal(size=(400, 32))
+    to -= (to * x[:400]).sum(1, keepdims=True) * x[:400]
+    x = np.concatenate([x, 0.905 * x[:400] + np.sqrt(1 - 0.905**2) * vectors._unit(to)])
+    table = prepare(spark).createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.component_id for r in vectors.near_duplicates(table).collect()}
+    assert sum(got[4000 + i] == i for i in range(400)) >= 396
+
+
+def test_trees_follow_the_depth():
+    sample = vectors._unit(np.random.default_rng(7).normal(size=(20_000, 64)))
+    share = [vectors.survival(sample, levels, np.random.default_rng(1)) for levels in (0, 5, 10, 20)]
+    assert share[0] == 1 and share == sorted(share, reverse=True) and 0.45 < share[2] < 0.7
+    trees = [vectors.n_trees(s) for s in share]
+    assert trees[0] == vectors.TREES and trees[1] <= trees[2] < trees[3]
+    assert 1 - (1 - share[3]) ** trees[3] >= vectors.RECALL
