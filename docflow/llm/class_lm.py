@@ -43,16 +43,16 @@ SIZE = LEXICON + 2
 # --- lexicon and its bigrams --------------------------------------------------------------------------------------
 
 
-def _frequent(batches):
-    """The most frequent words of a task with their counts."""
+def _word_counts(batches):
+    """All words of a task with their counts, a word once for each flush."""
     counts: Counter[bytes] = Counter()
     for batch in batches:
         for text in utf8(batch.column(0)):
             counts.update(words(text))
-        if len(counts) > FLUSH:
-            yield _counted(counts.most_common(4 * LEXICON))
-            counts.clear()
-    yield _counted(counts.most_common(4 * LEXICON))
+            if len(counts) > FLUSH:
+                yield _counted(counts.items())
+                counts.clear()
+    yield _counted(counts.items())
 
 
 def _counted(rows) -> pa.RecordBatch:
@@ -310,7 +310,7 @@ def score(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
                                    (id_bucket("doc_id", folds) == held).alias("held_out"))
     training = texts.where("not held_out").select("text")
 
-    top = training.mapInArrow(_frequent, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = training.mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = [bytes(r.word) for r in top.orderBy(F.desc("n"), "word").limit(LEXICON).collect()]
     number = context.broadcast({w: i + 1 for i, w in enumerate(top)})
     pairs = training.mapInArrow(_bigrams(number), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from docflow.llm import bpe, class_lm, decontam, elias_fano, jaccard, pages, pii, quality, token_files, toxicity, vectors
@@ -154,6 +155,15 @@ def test_token_files_hold_every_document_in_order(docs, monkeypatch):
     assert [r.start for r in rows] == [0, *np.cumsum([r.n_tokens for r in rows])[:-1].tolist()]
 
 
+def test_lexicon_counts_leave_no_word_out(monkeypatch):
+    monkeypatch.setattr(class_lm, "FLUSH", 30_000)
+    texts = [" ".join(f"w{i}" for i in range(begin, begin + 20_000)) for begin in (0, 10_000, 20_000)]
+    counts = Counter()
+    for part in class_lm._word_counts(pa.RecordBatch.from_arrays([pa.array([t])], ["text"]) for t in texts):
+        counts.update(dict(zip(part["word"].to_pylist(), part["n"].to_pylist())))
+    assert counts == Counter(w.encode() for t in texts for w in t.split())
+
+
 # --- decontamination ------------------------------------------------------------------------------------------------
 
 
