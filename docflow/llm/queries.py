@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 import public_tokenizers
-from docflow.llm import bpe, class_lm, decontam, jaccard, oracles, pages, pii, quality, token_files, toxicity, vectors
+from docflow.llm import (
+    bpe, class_lm, conversations, decontam, divergence, jaccard, mixing, oracles, pages, pii, quality, token_files, toxicity, vectors,
+)
 from docflow.llm.common import table
 
 
@@ -52,6 +54,18 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digest(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+def divergent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_class_lm": language_model,
     "op2_chunked_bpe": round_trip,
@@ -63,6 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": near_copies,
     "op9_embedding_dedup": near_vectors,
     "op10_quality": good,
+    "op11_conversation_repair": repaired,
+    "op12_source_divergence": divergent,
+    "op13_source_mixing": mixed,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
@@ -70,4 +87,7 @@ ORACLES: dict[str, str] = {
     "op7_pii": oracles.PERSONAL,
     "op8_jaccard_join": oracles.JACCARD,
     "op9_embedding_dedup": oracles.VECTORS,
+    "op11_conversation_repair": oracles.CONVERSATIONS,
+    "op12_source_divergence": oracles.DIVERGENCE,
+    "op13_source_mixing": oracles.MIXING,
 }
