@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,21 +46,21 @@ def query_terms(query: str) -> list[str]:
     return sorted(set(kept.split()))
 
 
-def build_index(parsed: DataFrame) -> Index:
-    """Index of the successfully parsed documents.
+def build_index(parsed: DataFrame, extra: Sequence[str] = ()) -> Index:
+    """Index of the successfully parsed documents; documents and postings carry the columns ``extra`` along.
 
     A document's terms are counted where the document lies, before the shuffle, and every
     posting carries the document length, so scoring needs no join with the documents. The
     outer explode keeps Catalyst from splitting each text a second time to drop empty ones.
     """
     ok = parsed.filter(F.col("processing_status") == "SUCCESS").withColumn("_t", tokens(F.col("extracted_text")))
-    docs = ok.select("parsed_id", F.size("_t").alias("doc_len"), *ATTRIBUTES)
+    docs = ok.select("parsed_id", F.size("_t").alias("doc_len"), *ATTRIBUTES, *extra)
     postings = (
-        ok.select("parsed_id", F.size("_t").alias("doc_len"), F.explode_outer("_t").alias("term"))
+        ok.select("parsed_id", F.size("_t").alias("doc_len"), *extra, F.explode_outer("_t").alias("term"))
         .filter(F.col("term").isNotNull())
-        .groupBy("parsed_id", "doc_len", "term").agg(F.count("*").alias("tf"))
+        .groupBy("parsed_id", "doc_len", *extra, "term").agg(F.count("*").alias("tf"))
     )
-    return Index(postings.select("term", "parsed_id", "tf", "doc_len"), docs)
+    return Index(postings.select("term", "parsed_id", "tf", "doc_len", *extra), docs)
 
 
 def write_index(index: Index, path: str, batch_id: int = 0) -> None:

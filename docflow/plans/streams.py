@@ -6,7 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from docflow.functions.variants import text_at
-from docflow.operators import search as s
+from docflow.operators import stored_index as si
 from docflow.operators.extract import FULL
 from docflow.operators.views import invoice_summary
 from docflow.plans.documents import PAGES_SQL
@@ -15,7 +15,7 @@ from docflow.plans.registry import query
 from docflow.plans.search import HIT, TEXT, one, scored
 from docflow.schemas import INVOICE, PARSED, RAW_JSON
 from docflow.session import scratch
-from docflow.sources import files as fs, tables as st
+from docflow.sources import batches, files as fs, tables as st
 from docflow.streaming import jobs
 
 
@@ -229,7 +229,39 @@ def _(t):
     path = feed(t, st.conform(t.parsed, PARSED), "parsed", spread=True)
     stream = st.stream_table(t.spark, path, PARSED, max_files=1)
     jobs.run_once([lambda: jobs.start_index_stream(stream, f"{base}/index", f"{base}/checkpoint")])
-    return s.search(s.load_index(t.spark, f"{base}/index"), TEXT, 50)
+    return si.search(si.open_index(t.spark, f"{base}/index"), TEXT, 50)
+
+
+# Documents 7, 27, 47, … come again with the text of their successor, 9, 19, 29, … are removed.
+CHANGED = """SELECT p.parsed_id + CASE WHEN n.parsed_id IS NULL THEN 0 ELSE 1000000000 END AS parsed_id, p.file_name, p.file_url, p.file_size, p.last_modified,
+    p.parse_timestamp, COALESCE(n.extracted_text, p.extracted_text) AS extracted_text, p.processing_status FROM parsed_invoices p
+  LEFT JOIN parsed_invoices n ON n.parsed_id = p.parsed_id + 1 AND p.parsed_id % 20 = 7 AND n.processing_status = 'SUCCESS' AND p.processing_status = 'SUCCESS'
+  WHERE p.parsed_id % 10 <> 9"""
+
+
+@query("h10b_changed_and_removed", with_tables(
+    scored(one(), 50).replace("FROM parsed_invoices WHERE", f"FROM ({CHANGED}) WHERE")
+    + f" SELECT {HIT} FROM lexical l JOIN docs d ON d.parsed_id = l.parsed_id", "parsed_invoices"))
+def _(t):
+    base = scratch(t.spark, "h10b")
+    first = st.conform(t.parsed, PARSED)
+    ok = first.filter("processing_status = 'SUCCESS'")
+    following = ok.select((F.col("parsed_id") - 1).alias("before"), F.col("extracted_text").alias("following"))
+    later = ok.filter("parsed_id % 20 = 7").join(following, F.col("parsed_id") == F.col("before")).withColumns({
+        "extracted_text": F.col("following"), "parsed_id": F.col("parsed_id") + 1_000_000_000})
+    removed = first.filter("parsed_id % 10 = 9").withColumns({
+        "extracted_text": F.lit(None).cast("string"), "processing_status": F.lit("REMOVED")})
+    for i, rows in enumerate((first, st.conform(later, PARSED), removed)):
+        rows.coalesce(1).write.parquet(f"{base}/in/{i}")
+        stream = st.stream_table(t.spark, f"{base}/in/*", PARSED)
+        jobs.run_once([lambda s=stream: jobs.start_index_stream(s, f"{base}/index", f"{base}/checkpoint")])
+    before = si.search(si.open_index(t.spark, f"{base}/index"), TEXT, 50)
+    before.write.parquet(f"{base}/before")
+    si.compact(t.spark, f"{base}/index")
+    batches.vacuum(t.spark, f"{base}/index")
+    # Compaction changes nothing: what either search has and the other has not would come twice or be missing.
+    after = si.search(si.open_index(t.spark, f"{base}/index"), TEXT, 50)
+    return after.union(t.spark.read.parquet(f"{base}/before")).distinct()
 
 
 @query("x4_form_helpers", with_tables("""

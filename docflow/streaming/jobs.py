@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docflow.functions.casts import at
+from docflow.operators import stored_index
 from docflow.operators.documents import parse_documents
 from docflow.operators.extract import extract_fields
 from docflow.operators.normalize import parse_header, parse_lines
 from docflow.operators.quality import new_invoices
 from docflow.operators.runlog import append_run_log, run_row
-from docflow.operators.search import refresh_index
-from docflow.schemas import PARSED, RAW_JSON
+from docflow.schemas import INVOICE, INVOICE_DETAIL, PARSED, RAW_JSON
+from docflow.sources import batches
 from docflow.sources.files import PDF, stream_files
 from docflow.sources.tables import conform, write_batch
 
@@ -68,16 +69,15 @@ def start_document_stream(
 
 
 def start_parse_stream(
-    raw: DataFrame, tables_path: str, checkpoint: str, every: str | None = None, pad: str = "driver"
+    raw: DataFrame, tables_path: str, checkpoint: str, every: str | None = None, pad: str = "driver", fan: int = 4
 ) -> StreamingQuery:
     """New landing rows to headers and lines. Both come from the same batch, read twice from
-    its files (cheaper than holding the documents); a batch that is run again replaces its
-    own folders. A batch is published when both are written."""
+    its files (cheaper than holding the documents), and are published together; batches are rolled up ``fan`` at a time."""
 
     def both(batch: DataFrame, batch_id: int) -> None:
-        write_batch(parse_header(batch), f"{tables_path}/invoice", batch_id)
-        write_batch(parse_lines(batch, pad), f"{tables_path}/invoice_detail", batch_id)
-        write_batch(batch.sparkSession.range(1), f"{tables_path}/published", batch_id)
+        spark = batch.sparkSession
+        batches.write_tables(spark, tables_path, batch_id, invoice=parse_header(batch), invoice_detail=parse_lines(batch, pad))
+        batches.roll_up_tables(spark, tables_path, fan=fan)
 
     return (
         raw.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
@@ -86,18 +86,19 @@ def start_parse_stream(
 
 def read_tables(spark: SparkSession, tables_path: str) -> tuple[DataFrame, DataFrame]:
     """Headers and lines of the published batches: never headers without their lines."""
-    published = spark.read.parquet(f"{tables_path}/published").select("batch_id")
-    return tuple(
-        spark.read.parquet(f"{tables_path}/{name}").join(published, "batch_id", "left_semi").drop("batch_id")
-        for name in ("invoice", "invoice_detail")
-    )
+    found = batches.live(spark, tables_path)
+    return (batches.read_from(spark, tables_path, found, "invoice", INVOICE),
+            batches.read_from(spark, tables_path, found, "invoice_detail", INVOICE_DETAIL))
 
 
-def start_index_stream(parsed: DataFrame, index_path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """New parsed documents into the search index; ``every`` is the lag the index may have."""
+def start_index_stream(
+    parsed: DataFrame, index_path: str, checkpoint: str, every: str | None = None, shards: int | None = None, fan: int = 4
+) -> StreamingQuery:
+    """New, changed and removed (status REMOVED) documents into the stored search index; ``every`` is the lag it may have."""
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        refresh_index(index_path, batch, batch_id)
+        stored_index.add(batch.sparkSession, index_path, batch, batch_id, shards=shards)
+        stored_index.roll_up(batch.sparkSession, index_path, fan)
 
     return (
         parsed.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
@@ -120,19 +121,30 @@ def error_windows(raw: DataFrame) -> DataFrame:
 
 
 def start_counts(
-    df: DataFrame, counts: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, every: str | None = None
+    df: DataFrame, counts: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, every: str | None = None, fan: int = 2
 ) -> StreamingQuery:
-    """The counts of each micro-batch in a folder of its own, to be added up by ``read_counts``: no state, no
-    watermark, so a row counts however late it comes and the newest hours are there at once."""
+    """The counts of each micro-batch, to be added up by ``read_counts``: no state, no watermark, so a row counts however
+    late it comes and the newest hours are there at once. ``fan`` batches at a time are added up into one."""
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        write_batch(counts(batch), path, batch_id)
+        batches.write_tables(batch.sparkSession, path, batch_id, counts=counts(batch))
+        roll_up_counts(batch.sparkSession, path, fan)
 
     return df.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
 
 
+def roll_up_counts(spark: SparkSession, path: str, fan: int = 2) -> int:
+    """Every column but the last, which is the count, is a key."""
+
+    def add_up(df: DataFrame) -> DataFrame:
+        *keys, count = df.columns
+        return df.groupBy(*keys).agg(F.sum(count).alias(count)).coalesce(1)
+
+    return batches.roll_up_tables(spark, path, {"counts": add_up}, fan)
+
+
 def read_counts(spark: SparkSession, path: str, key: str, count: str) -> DataFrame:
-    return spark.read.parquet(path).groupBy(key).agg(F.sum(count).alias(count))
+    return batches.read(spark, path, "counts").groupBy(key).agg(F.sum(count).alias(count))
 
 
 def start_logged(
