@@ -104,11 +104,11 @@ def read_text(df: DataFrame, text_col: str) -> DataFrame:
     """Adds the labels, their values and the cells of the line rows, each read once."""
     text = F.col(text_col)
     rows = F.regexp_extract_all(text, F.lit(LINE_ROW), F.lit(1))
-    return df.withColumns({
-        "_labels": F.regexp_extract_all(F.lower(text), F.lit(LABELLED), F.lit(1)),
-        "_values": F.regexp_extract_all(text, F.lit(LABELLED), F.lit(2)),
-        "_cells": F.transform(rows, lambda row: F.split(row, r"\|")),
-    })
+    return once(df, df.columns, F.struct(
+        F.regexp_extract_all(F.lower(text), F.lit(LABELLED), F.lit(1)).alias("_labels"),
+        F.regexp_extract_all(text, F.lit(LABELLED), F.lit(2)).alias("_values"),
+        F.transform(rows, lambda row: F.split(row, r"\|")).alias("_cells"),
+    ))
 
 
 def _label_value(field: str) -> Column:
@@ -177,13 +177,22 @@ def extract_fields(
         .when(F.coalesce(*[p.cast("string") for p in probe]).isNull(), "no field found")
     )
     json_text = F.to_json(F.col("_f"))
-    return found.withColumn("error_message", message).select(
-        *[c for c in df.columns if c != text_col],
+    result = F.struct(
         F.when(F.col("error_message").isNull(), F.try_parse_json(json_text))
         .otherwise(error_object(F.col("error_message"))).alias("extracted_json"),
         F.when(F.col("error_message").isNull(), "SUCCESS").otherwise("ERROR").alias("processing_status"),
-        "error_message",
+        F.col("error_message"),
     )
+    return once(found.withColumn("error_message", message), [c for c in df.columns if c != text_col], result)
+
+
+def once(df: DataFrame, keep: list[str], result: Column) -> DataFrame:
+    """``keep`` and the fields of the struct ``result``, evaluated once per row whatever is asked of them.
+
+    Catalyst copies an expression into every filter it pushes below the projection that makes it; it does not push
+    filters on the output of a generator.
+    """
+    return df.select(*keep, F.inline_outer(F.array(result)))
 
 
 def _with_worker(df, text_col, fields, worker, partitions) -> DataFrame:

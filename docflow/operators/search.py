@@ -7,8 +7,12 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from docflow.session import scratch
 
 K1, B = 1.2, 0.75
 RRF = 60
@@ -16,8 +20,13 @@ NOT_WORD = r"[^\p{L}\p{N}]+"
 ATTRIBUTES = ["file_name", "file_url", "file_size", "last_modified", "parse_timestamp"]
 # Above this many (query, term) rows the query side is shuffled, not broadcast.
 BROADCAST_ROWS = 200_000
-# Numbers of one block of query vectors held by every task (64 MB of doubles).
+# Numbers of the query vectors and of the vectors that a task holds (64 MB of doubles each).
 BLOCK_NUMBERS = 8_000_000
+TASK_NUMBERS = 8_000_000
+CENTRES = 64
+PACK_ROWS = 256
+NOTHING = -2.0  # below every cosine
+MARGIN = 2e-6  # scores are compared as they are rounded
 # Scores a task holds at once.
 TILE_SCORES = 4_000_000
 SALTS = 32
@@ -180,50 +189,179 @@ def _best(ids: np.ndarray, scores: np.ndarray, own: np.ndarray, k: int) -> np.nd
     return usable[np.lexsort((ids[usable], -scores[usable]))][:k]
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The lists of a batch as unit rows; a list without length stays zero."""
+    return _unit(pc.list_flatten(column).to_numpy(zero_copy_only=False).astype("float64").reshape(len(column), -1))
+
+
+def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(a @ b.T, -1, 1))
+
+
+def _centres(vectors: DataFrame, item: str) -> np.ndarray:
+    """At most ``CENTRES`` unit vectors of the table, chosen by hash."""
+    rows = vectors.orderBy(F.xxhash64(item), item).limit(CENTRES).select("e").collect()
+    unit = _unit(np.array([r.e for r in rows], "float64").reshape(len(rows), -1)) if rows else np.empty((0, 0))
+    return unit[unit.any(axis=1)]
+
+
+def _packed(centres: np.ndarray):
+    """Vectors by their nearest centre, in packs of a narrow range of angles to it; those without direction have cell -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unit = _matrix(batch.column("e"))
+            near = _angles(unit, centres) if len(centres) else np.zeros((len(unit), 1))
+            cell = np.where(unit.any(axis=1), near.argmin(axis=1), -1)
+            angle = np.where(cell < 0, 0.0, near[np.arange(len(unit)), cell])
+            order = np.lexsort((angle, cell))
+            cuts = np.flatnonzero(np.diff(cell[order])) + 1
+            for part in np.split(order, cuts):
+                for at in range(0, len(part), PACK_ROWS):
+                    one = part[at:at + PACK_ROWS]
+                    ids = batch.column(0).take(pa.array(one))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([int(cell[one[0]])], pa.int32()), pa.array([angle[one[0]]]), pa.array([angle[one[-1]]]), pa.array([len(one)], pa.int32()),
+                        pa.ListArray.from_arrays(pa.array([0, len(one)], pa.int32()), ids), pa.array([unit[one].tobytes()], pa.binary())],
+                        ["cell", "low", "high", "n", "ids", "data"])
+
+    return run
+
+
+def _asked(centres: np.ndarray):
+    """Queries with their unit vector and own cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unit = _matrix(batch.column("e"))
+            near = _angles(unit, centres) if len(centres) else np.zeros((len(unit), 1))
+            cell = np.where(unit.any(axis=1), near.argmin(axis=1), -1)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([row.tobytes() for row in unit], pa.binary()), pa.array(cell, pa.int32())], ["query_id", "data", "cell"])
+
+    return run
+
+
+def _bounds(away: np.ndarray, low, high) -> np.ndarray:
+    """Largest cosine with anything whose angle to a centre is from ``low`` to ``high``, for angles ``away`` to that centre."""
+    return np.cos(np.maximum(0.0, np.maximum(away - high, low - away)))
+
+
+def _remaining(centres: np.ndarray, cells: list[tuple[int, float, float]]):
+    """The other cells that may hold one of a query's best."""
+    numbers = np.array([c[0] for c in cells])
+    low, high = (np.array([c[i] for c in cells]) for i in (1, 2))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unit = np.frombuffer(b"".join(batch.column("data").to_pylist())).reshape(len(batch), -1)
+            bound = np.zeros((len(unit), len(cells)))
+            real = numbers >= 0
+            bound[:, real] = np.where(unit.any(axis=1)[:, None], _bounds(_angles(unit, centres[numbers[real]]), low[real], high[real]), 0.0)
+            least, own = batch.column("least").to_numpy(), batch.column("cell").to_numpy()
+            row, which = np.nonzero((bound >= least[:, None] - MARGIN) & (numbers[None] != own[:, None]))
+            kept = batch.take(pa.array(row))
+            yield kept.set_column(kept.schema.get_field_index("cell"), "cell", pa.array(numbers[which], pa.int32()))
+
+    return run
+
+
+def best_of_packs(
+    packs: list[tuple], q: np.ndarray, own: list, least: np.ndarray, centre: np.ndarray | None, k: int
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """The ``k`` best (ids, scores) of each row of ``q`` in the packs (low, high, ids, unit rows) of one cell, and how many
+    scores that took. A pack is passed over for the queries that have ``k`` better ones, the ids in ``own`` are left out."""
+    away = _angles(q, centre[None])[:, 0] if centre is not None else None
+    found = [(np.empty(0, np.int64), np.empty(0))] * len(q)
+    least, some, compared = least.copy(), q.any(axis=1), 0
+    if away is not None:  # near packs first: they raise the bar for the others
+        packs = sorted(packs, key=lambda p: abs((p[0] + p[1]) / 2 - float(np.median(away))))
+    for low, high, ids, unit in packs:
+        bound = np.zeros(len(q)) if away is None else np.where(some, _bounds(away, low, high), 0.0)
+        asked = np.flatnonzero(bound >= least - MARGIN)
+        for at in range(0, len(asked), max(1, TILE_SCORES // len(ids))):
+            part = asked[at:at + max(1, TILE_SCORES // len(ids))]
+            scores = np.round(unit @ q[part].T, 6) + 0.0
+            compared += scores.size
+            for column in np.flatnonzero(scores.max(axis=0) >= least[part]):
+                j = part[column]
+                near = np.concatenate([found[j][1], scores[:, column]])
+                names = np.concatenate([found[j][0], ids])
+                pick = _best(names, near, (names == own[j]) if own[j] is not None else np.zeros(len(names), bool), k)
+                found[j] = names[pick], near[pick]
+                if len(pick) == k:
+                    least[j] = max(least[j], near[pick].min())
+    return found, compared
+
+
+def _met(centres: np.ndarray, k: int, exclude_self: bool, id_type: pa.DataType, query_type: pa.DataType):
+    def rank(key, packs: pa.Table, asked: pa.Table) -> pa.Table:
+        cell = key[0].as_py()
+        out: tuple[list, list, list] = ([], [], [])
+        if len(packs) and len(asked):
+            q = np.frombuffer(b"".join(asked["data"].to_pylist())).reshape(len(asked), -1)
+            names = asked["query_id"].to_pylist()
+            parts = [(low, high, np.array(ids), np.frombuffer(data).reshape(len(ids), -1)) for low, high, ids, data in zip(
+                *(packs[c].to_pylist() for c in ("low", "high", "ids", "data")))]
+            found, _ = best_of_packs(parts, q, names if exclude_self else [None] * len(q), asked["least"].to_numpy(),
+                                     centres[cell] if cell >= 0 else None, k)
+            for name, (ids, scores) in zip(names, found):
+                out[0].extend([name] * len(ids))
+                out[1].extend(ids.tolist())
+                out[2].extend(scores.tolist())
+        return pa.table({"query_id": pa.array(out[0], query_type), "item": pa.array(out[1], id_type), "score": pa.array(out[2], pa.float64())})
+
+    return rank
+
+
 def search_dense(
     vectors: DataFrame, queries: DataFrame, k: int = 10, item: str = "vec_id", exclude_self: bool = False
 ) -> DataFrame:
     """Exact cosine ranking: ``queries(query_id, embedding)`` to ``(query_id, item, score, rank)``.
 
-    Queries go to every task in blocks of bounded size; a block costs one pass over the
-    vectors, and every batch of a pass keeps its ``k`` best rows per query before anything
-    is shuffled. ``exclude_self`` leaves out the row whose id equals the query id.
+    Vectors are packed by the nearest of a few centres, in narrow ranges of the angle to it. A query is ranked in its own
+    cell first; what it finds there, with the angles, rules out cells and packs that can't hold a better one. Queries and
+    packs meet in tasks of bounded size, a large cell in several, and each keeps its ``k`` best rows per query.
+    Neither queries nor vectors pass through the driver, but for the centres. Null vectors are left out, and those without direction
+    have cosine 0. ``exclude_self`` leaves out the row whose id equals the query id.
     """
-    width = queries.agg(F.max(F.size("embedding")).alias("w"), F.count("*").alias("n")).first()
-    blocks = max(1, -(-((width["w"] or 0) * width["n"]) // BLOCK_NUMBERS))
-    out = None
-    for b in range(blocks):
-        part = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
-        one = _dense_pass(vectors, part, k, item, exclude_self)
-        out = one if out is None else out.unionByName(one)
-    return top_per_query(out, k, item)
-
-
-def _dense_pass(vectors: DataFrame, queries: DataFrame, k: int, item: str, exclude_self: bool) -> DataFrame:
-    rows = queries.select("query_id", F.col("embedding").cast("array<double>").alias("e")).toPandas()
-    if rows.empty:
-        rows = pd.DataFrame({"query_id": np.array([], dtype="int64"), "e": []})
-    qid = rows["query_id"].to_numpy()
-    q = _unit(np.array(rows["e"].tolist(), dtype="float64").reshape(len(rows), -1)) if len(rows) else None
-
-    def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if q is None or pdf.empty:
-                continue
-            ids = pdf[item].to_numpy()
-            m = _unit(np.array(pdf["e"].tolist(), dtype="float64"))
-            for at in range(0, len(ids), max(1, TILE_SCORES // len(qid))):
-                part = slice(at, at + max(1, TILE_SCORES // len(qid)))
-                scores, own = np.round(m[part] @ q.T, 6), ids[part]
-                none = np.zeros(len(own), dtype=bool)
-                picks = [_best(own, scores[:, j], (own == one) if exclude_self else none, k) for j, one in enumerate(qid)]
-                pick, j = np.concatenate(picks), np.repeat(np.arange(len(qid)), [len(p) for p in picks])
-                yield pd.DataFrame({"query_id": qid[j], item: own[pick], "score": scores[pick, j]})
-
-    source = vectors.select(item, F.col("embedding").cast("array<double>").alias("e"))
-    kind = vectors.schema[item].dataType.simpleString()
-    query_kind = queries.schema["query_id"].dataType.simpleString()
-    return source.mapInPandas(rank, f"query_id {query_kind}, {item} {kind}, score DOUBLE")
+    spark, e = vectors.sparkSession, F.col("embedding").cast("array<double>").alias("e")
+    source = vectors.filter("embedding is not null").select(item, e)
+    centres = _centres(source, item)
+    kind, query_kind = vectors.schema[item].dataType, queries.schema["query_id"].dataType
+    path = scratch(spark, "packs")
+    source.mapInArrow(_packed(centres), f"cell INT, low DOUBLE, high DOUBLE, n INT, ids ARRAY<{kind.simpleString()}>, data BINARY").write.parquet(path)
+    packs = spark.read.parquet(path)
+    # A row per centre at most.
+    cells = packs.groupBy("cell").agg(F.min("low"), F.max("high"), F.sum("n"), F.max(F.octet_length("data") / F.col("n") / 8)).collect()
+    asked = queries.filter("embedding is not null").select("query_id", e).mapInArrow(
+        _asked(centres), f"query_id {query_kind.simpleString()}, data BINARY, cell INT")
+    width = int(max((c[4] for c in cells), default=0))
+    parts = max(1, -(-asked.count() * width // BLOCK_NUMBERS))
+    subs = {c[0]: max(1, -(-c[3] * width // TASK_NUMBERS)) for c in cells} or {-1: 1}
+    of_cell = F.create_map(*[F.lit(int(x)) for pair in subs.items() for x in pair])[F.col("cell")]
+    placed = packs.withColumn("sub", F.pmod(F.xxhash64(F.get("ids", F.lit(0))), of_cell).cast("int")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    key = ["cell", "sub", "part"]
+
+    def meet(wanted: DataFrame) -> DataFrame:
+        spread = wanted.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")).withColumn(
+            "sub", F.explode(F.sequence(F.lit(0), of_cell.cast("int") - 1)))
+        return placed.groupBy(*key).cogroup(spread.groupBy(*key)).applyInArrow(
+            _met(centres, k, exclude_self, to_arrow_type(kind), to_arrow_type(query_kind)),
+            f"query_id {query_kind.simpleString()}, item {kind.simpleString()}, score DOUBLE")
+
+    # A query whose own cell is empty starts with nothing found.
+    first = scratch(spark, "own-cell")
+    top_per_query(meet(asked.withColumn("least", F.lit(NOTHING))), k, "item").write.parquet(first)
+    own = spark.read.parquet(first)
+    least = own.filter(F.col("rank") == k).select(F.col("query_id").alias("_q"), "score")
+    known = asked.join(least, F.col("query_id") == F.col("_q"), "left").select(
+        "query_id", "data", "cell", F.coalesce("score", F.lit(NOTHING)).alias("least"))
+    others = known.mapInArrow(_remaining(centres, [(c[0], c[1], c[2]) for c in cells]),
+                              f"query_id {query_kind.simpleString()}, data BINARY, cell INT, least DOUBLE")
+    both = own.drop("rank").unionByName(meet(others))
+    return top_per_query(both, k, "item").withColumnRenamed("item", item)
 
 
 def similar_to(vectors: DataFrame, seeds: DataFrame, k: int = 10, item: str = "vec_id") -> DataFrame:

@@ -47,6 +47,18 @@ def test_pruning(spark):
     assert "o_totalprice" in text and "o_orderdate" not in text.split("ReadSchema")[1]
 
 
+def test_filters_do_not_copy_the_extraction(spark, tables):
+    from docflow.operators import extract as e, normalize as n
+
+    def size(df):
+        return len(df._jdf.queryExecution().optimizedPlan().toString())
+
+    raw = e.extract_fields(tables.texts, "text", e.FULL)
+    assert size(n.documents(raw)) < 2 * size(raw)
+    header = n.parse_header(raw.withColumn("extraction_timestamp", F.lit("2024-01-01").cast("timestamp_ntz")))
+    assert size(header.filter("total_amount > 10")) < 2 * size(raw)
+
+
 def test_dedupe_reduces_before_the_shuffle(spark, tables):
     text = plan(q.latest_invoices(tables.invoice))
     assert re.search(r"WindowGroupLimit.*Final", text) and re.search(r"WindowGroupLimit.*Partial", text)

@@ -109,6 +109,42 @@ def test_dense_is_exact(spark, monkeypatch, block):
         assert np.allclose([sc for _, sc in mine], [sc for _, sc in want], atol=1e-6)
 
 
+def clustered(n=3000, groups=12, dims=16, seed=0):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(size=(groups, dims))
+    return np.round(middles[rng.integers(0, groups, n)] + rng.normal(size=(n, dims)) * 0.1, 4)
+
+
+def test_dense_in_cells_is_exact_with_three_queries_a_block(spark, monkeypatch):
+    monkeypatch.setattr(s, "BLOCK_NUMBERS", 3 * 16)
+    monkeypatch.setattr(s, "TASK_NUMBERS", 16 * 200)
+    monkeypatch.setattr(s, "PACK_ROWS", 32)
+    m = clustered()
+    m[7] = 0
+    rows = [(i, v.tolist()) for i, v in enumerate(m)]
+    df = spark.createDataFrame(rows + [(9999, None)], "vec_id BIGINT, embedding ARRAY<DOUBLE>").repartition(6)
+    queries = df.filter("vec_id < 12").select(F.col("vec_id").alias("query_id"), "embedding")
+    got = {}
+    for r in s.search_dense(df, queries, 5, exclude_self=True).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for qid in range(12):
+        want = brute_dense(rows, rows[qid][1], 5, skip=qid)
+        assert [(i, pytest.approx(sc, abs=1e-6)) for i, sc in want] == [(i, sc) for _, i, sc in sorted(got[qid])]
+
+
+def test_packs_that_cannot_matter_are_passed_over():
+    m = s._unit(clustered(2000))
+    centre, away = m[0], s._angles(m, m[:1])[:, 0]
+    order = np.argsort(away)
+    packs = [(away[p[0]], away[p[-1]], p, m[p]) for p in np.array_split(order, 60)]
+    q = m[:40]
+    found, compared = s.best_of_packs(packs, q, [None] * 40, np.full(40, s.NOTHING), centre, 10)
+    assert compared < 0.6 * len(m) * len(q)
+    for j in range(40):
+        scores = np.round(m @ q[j], 6)
+        assert found[j][0].tolist() == np.lexsort((np.arange(len(m)), -scores))[:10].tolist()
+
+
 def test_similar_leaves_itself_out(spark):
     rows, df = vectors(spark)
     got = s.similar_to(df, spark.createDataFrame([(7,)], "vec_id BIGINT"), 5).collect()
