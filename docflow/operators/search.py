@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from docflow.session import scratch
+from docflow.session import scratch, written
 
 K1, B = 1.2, 0.75
 RRF = 60
@@ -155,19 +155,36 @@ def top_per_query(scored: DataFrame, k: int, item: str = "parsed_id") -> DataFra
 # ---- vectors -------------------------------------------------------------------------
 
 
-def embed(df: DataFrame, text_col: str, dims: int = 256, id_col: str = "parsed_id") -> DataFrame:
-    """Default embedder: ``id_col`` and ``embedding``, TF-IDF over hashed words, unit length.
-
-    A word's bucket is its md5 modulo ``dims``. Counts and document frequencies are two aggregates, bounded by
-    ``dims`` rows per document; a text without words has the zero vector.
-    """
+def _buckets(df: DataFrame, text_col: str, dims: int, id_col: str) -> DataFrame:
     bucket = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("bigint") % dims
     words = df.select(id_col, F.explode(tokens(F.col(text_col))).alias("term"))
-    counts = words.groupBy(id_col, bucket.cast("int").alias("bucket")).agg(F.count("*").alias("tf"))
+    return words.groupBy(id_col, bucket.cast("int").alias("bucket")).agg(F.count("*").alias("tf"))
+
+
+def _model(df: DataFrame, counts: DataFrame, dims: int) -> DataFrame:
     spread = counts.groupBy("bucket").agg(F.count("*").alias("df"))
     total = df.agg(F.count("*")).scalar()
-    idf = F.log((total + 1) / (F.col("df") + 1)) + 1
-    weights = counts.join(spread, "bucket").select(id_col, "bucket", (F.col("tf") * idf).alias("w"))
+    every = df.sparkSession.range(dims).select(F.col("id").cast("int").alias("bucket"))
+    return every.join(spread, "bucket", "left").select(
+        "bucket", (F.log((total + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf"))
+
+
+def embedding_model(df: DataFrame, text_col: str, dims: int = 256, id_col: str = "parsed_id") -> DataFrame:
+    """The weight of each of the ``dims`` buckets in a collection: (bucket, idf), for texts to be embedded like its own."""
+    return _model(df, _buckets(df, text_col, dims, id_col), dims)
+
+
+def embed(
+    df: DataFrame, text_col: str, dims: int = 256, id_col: str = "parsed_id", model: DataFrame | None = None
+) -> DataFrame:
+    """Default embedder: ``id_col`` and ``embedding``, TF-IDF over hashed words, unit length.
+
+    A word's bucket is its md5 modulo ``dims``. Counts and document frequencies are two aggregates, bounded by
+    ``dims`` rows per document; a text without words has the zero vector. ``model`` are another collection's weights.
+    """
+    counts = _buckets(df, text_col, dims, id_col)
+    model = _model(df, counts, dims) if model is None else model
+    weights = counts.join(F.broadcast(model), "bucket").select(id_col, "bucket", (F.col("tf") * F.col("idf")).alias("w"))  # ``dims`` rows
     rows = weights.groupBy(id_col).agg(
         F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("_m"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
     buckets = F.sequence(F.lit(0), F.lit(dims - 1))
@@ -175,6 +192,13 @@ def embed(df: DataFrame, text_col: str, dims: int = 256, id_col: str = "parsed_i
     return df.select(id_col).join(rows, id_col, "left").select(id_col, vector.alias("embedding"))
 
 
+def search_by_meaning(docs: DataFrame, text_col: str, queries: DataFrame, k: int = 10, dims: int = 256) -> DataFrame:
+    """``queries(query_id, query)`` to the ``k`` nearest of ``docs`` by the documents' own vectors: (query_id, parsed_id, score, rank)."""
+    model = written(embedding_model(docs, text_col, dims), "embedding-model")
+    asked = embed(queries, "query", dims, "query_id", model)
+    return search_dense(embed(docs, text_col, dims, model=model), asked, k, "parsed_id")
+
+
 def _unit(m: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)

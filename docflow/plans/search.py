@@ -178,6 +178,50 @@ def _(t):
     return cells.select("parsed_id", F.col("bucket").cast("bigint").alias("bucket"), F.round("w", 6).alias("weight"))
 
 
+# Documents and questions by the same embedder: the documents' weights.
+MEANING = """, counts AS (SELECT parsed_id, {bucket} AS bucket, COUNT(*) AS tf FROM words GROUP BY 1, 2),
+  spread AS (SELECT b AS bucket, LN(((SELECT COUNT(*) FROM toks) + 1) / (COUNT(counts.bucket) + 1)) + 1 AS idf
+    FROM RANGE(256) r(b) LEFT JOIN counts ON counts.bucket = b GROUP BY 1),
+  unit AS (SELECT parsed_id, c.bucket, tf * idf / SQRT(SUM(tf * idf * tf * idf) OVER (PARTITION BY parsed_id)) AS w
+    FROM counts c JOIN spread s ON s.bucket = c.bucket),
+  asked AS ({queries}),
+  parts AS (SELECT query_id, {bucket} AS bucket, COUNT(*) AS tf FROM (SELECT query_id, UNNEST({words}) AS term FROM asked) GROUP BY 1, 2),
+  question AS (SELECT query_id, p.bucket, tf * idf / SQRT(SUM(tf * idf * tf * idf) OVER (PARTITION BY query_id)) AS w
+    FROM parts p JOIN spread s ON s.bucket = p.bucket),
+  cosines AS (SELECT query_id, parsed_id, SUM(u.w * q.w) AS c FROM unit u JOIN question q ON q.bucket = u.bucket GROUP BY 1, 2),
+  near AS (SELECT a.query_id, d.parsed_id, ROUND(COALESCE(c, 0), 6) AS score FROM asked a CROSS JOIN docs d
+    LEFT JOIN cosines x ON x.query_id = a.query_id AND x.parsed_id = d.parsed_id),
+  meaning AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, parsed_id) AS rank FROM near) WHERE rank <= {k})"""
+
+
+def by_meaning(queries: str, k: int = K) -> str:
+    return MEANING.format(bucket="CAST(CAST('0x' || SUBSTR(MD5(term), 1, 8) AS BIGINT) % 256 AS BIGINT)", queries=queries,
+                          words=WORDS.format("query"), k=k)
+
+
+def good_texts(t):
+    return t.parsed.filter("processing_status = 'SUCCESS'").select("parsed_id", "extracted_text")
+
+
+@query("h3c_text_to_ranking", with_tables(
+    f"WITH {INDEX}" + by_meaning("SELECT item_id AS query_id, text AS query FROM benchmark") + " SELECT query_id, parsed_id, score, rank FROM meaning",
+    "parsed_invoices"))
+def _(t):
+    queries = t.table("benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return s.search_by_meaning(good_texts(t), "extracted_text", queries, K).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("h4b_hybrid_by_text", with_tables(scored(one(), 50) + by_meaning(one(), 50) + f""",
+  both_ranks AS (SELECT query_id, parsed_id, rank FROM lexical UNION ALL SELECT query_id, parsed_id, rank FROM meaning),
+  fused AS (SELECT query_id, parsed_id, ROUND(SUM(1.0::DOUBLE / (60 + rank)), 9) AS score FROM both_ranks GROUP BY 1, 2)
+SELECT query_id, parsed_id, score, rank FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, parsed_id) AS rank FROM fused)
+WHERE rank <= {K}""", "parsed_invoices"))
+def _(t):
+    queries = t.spark.createDataFrame([(1, TEXT)], "query_id BIGINT, query STRING")
+    dense = s.search_by_meaning(good_texts(t), "extracted_text", queries, 50)
+    return s.fuse(si.search_batch(index(t), queries, 50), dense, K).withColumn("rank", F.col("rank").cast("bigint"))
+
+
 # Vector n belongs to document n; group 1 is the query's vector.
 @query("h4_hybrid_search", with_tables(scored(one(), 50) + f""", {CENTRES}, {DENSE.replace(f'rank <= {K}', 'rank <= 50')},
   both_ranks AS (SELECT query_id, parsed_id, rank FROM lexical UNION ALL SELECT query_id, vec_id, rank FROM dense WHERE query_id = 1),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docflow.functions.variants import text_at
 from docflow.operators import stored_index as si
 from docflow.operators.extract import FULL
+from docflow.operators.normalize import parse_header, parse_lines
 from docflow.operators.views import invoice_summary
 from docflow.plans.documents import PAGES_SQL
 from docflow.plans.fixtures import AS_OF, with_tables
@@ -69,6 +70,51 @@ def summary_of(t, path: str):
     return invoice_summary(inv, det).select("invoice_id", "invoice_number", "total_amount", "total_line_items", "line_items_total")
 
 
+SEPARATOR = "\n=====\n"
+
+
+def document_files(t) -> str:
+    """All invoices as documents, many to a file."""
+    path = scratch(t.spark, "documents")
+    t.texts.select("text").repartition(4).write.option("lineSep", SEPARATOR).text(path)
+    return path
+
+
+# Documents and lines by vendor, from the files of many documents.
+BY_VENDOR = """
+SELECT vendor_name, COUNT(*) AS documents, CAST(SUM(n) AS BIGINT) AS lines, CAST(SUM(total_amount) AS DECIMAL(38,2)) AS total_amount,
+  CAST(SUM(amount) AS DECIMAL(38,2)) AS line_amount
+FROM invoice i LEFT JOIN (SELECT invoice_id, COUNT(*) AS n, SUM(line_amount) AS amount FROM invoice_detail GROUP BY 1) d ON d.invoice_id = i.invoice_id
+GROUP BY 1"""
+
+
+def by_vendor(inv, det):
+    lines = det.groupBy("invoice_id").agg(F.count("*").alias("n"), F.sum("line_amount").alias("amount"))
+    return inv.join(lines, "invoice_id", "left").groupBy("vendor_name").agg(
+        F.count("*").alias("documents"), F.sum("n").alias("lines"), F.sum("total_amount").cast("decimal(38,2)").alias("total_amount"),
+        F.sum("amount").cast("decimal(38,2)").alias("line_amount"))
+
+
+@query("t1b_documents_in_files", with_tables(BY_VENDOR, "invoice"))
+def _(t):
+    base, files = scratch(t.spark, "t1b"), document_files(t)
+    jobs.run_once([lambda: jobs.start_extract_stream(
+        t.spark, files, f"{base}/raw", f"{base}/checkpoint", FULL, pattern="*.txt", as_of=AS_OF, separator=SEPARATOR)])
+    raw = st.read_table(t.spark, f"{base}/raw", RAW_JSON)
+    return by_vendor(parse_header(raw), parse_lines(raw))
+
+
+@query("t4b_run_all_with_lines", with_tables(BY_VENDOR, "invoice"))
+def _(t):
+    base, files = scratch(t.spark, "t4b"), document_files(t)
+    jobs.run_once([
+        lambda: jobs.start_extract_stream(t.spark, files, f"{base}/raw", f"{base}/c1", FULL, pattern="*.txt", max_files=2, as_of=AS_OF,
+                                          separator=SEPARATOR),
+        lambda: jobs.start_parse_stream(st.stream_table(t.spark, f"{base}/raw", RAW_JSON, max_files=4), f"{base}/tables", f"{base}/c2"),
+    ])
+    return by_vendor(*jobs.read_tables(t.spark, f"{base}/tables"))
+
+
 @query("t2_parse_stream", TABLES_SQL)
 def _(t):
     base, path = scratch(t.spark, "t2"), landed(t)

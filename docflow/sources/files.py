@@ -67,6 +67,25 @@ def stream_files(
     return _describe(reader.load(root), root, keep_content=True)
 
 
+def stream_documents(
+    spark: SparkSession, root: str, separator: str, pattern: str = "*", max_files: int | None = None
+) -> DataFrame:
+    """New files that hold many documents each, as a row per document: the file columns, ``document_id`` and ``content``.
+
+    A document ends at ``separator`` or the end of the file. Splits of a large file begin at the next separator, so borders
+    do not depend on them. The id is a function of the file's name and time and the document's text, so it is the same in
+    every run; equal documents of a file share it. White space between documents is none.
+    """
+    reader = spark.readStream.option("lineSep", separator).option("maxFileAge", ANY_AGE).option("recursiveFileLookup", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.option("pathGlobFilter", pattern).text(root).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modificationTime"), F.col("value").alias("content"))
+    found = _describe(rows.filter(F.col("content").rlike(r"\S")), root, keep_content=True)
+    return found.withColumn("document_id", F.xxhash64("file_name", "last_modified", "content"))
+
+
 def of_type(files: DataFrame, pattern: str = "%.pdf") -> DataFrame:
     return files.filter(F.col("file_name").ilike(pattern))
 

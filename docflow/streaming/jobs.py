@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docflow.functions.casts import at
@@ -13,11 +13,12 @@ from docflow.operators import stored_index
 from docflow.operators.documents import parse_documents
 from docflow.operators.extract import extract_fields
 from docflow.operators.normalize import parse_header, parse_lines
-from docflow.operators.quality import new_invoices
+from docflow.operators.quality import latest_invoices
 from docflow.operators.runlog import append_run_log, run_row
 from docflow.schemas import INVOICE, INVOICE_DETAIL, PARSED, RAW_JSON
-from docflow.sources import batches
-from docflow.sources.files import PDF, stream_files
+from docflow.session import written
+from docflow.sources import batches, numbers
+from docflow.sources.files import PDF, stream_documents, stream_files
 from docflow.sources.tables import conform, write_batch
 
 
@@ -33,16 +34,18 @@ def _now(as_of: str | None):
 def start_extract_stream(
     spark: SparkSession, files_dir: str, raw_path: str, checkpoint: str, fields: dict,
     pattern: str = PDF, max_files: int | None = None, every: str | None = None,
-    worker: Callable | None = None, as_of: str | None = None,
+    worker: Callable | None = None, as_of: str | None = None, separator: str | None = None,
 ) -> StreamingQuery:
-    """New files to rows of the landing table. The file sink's log makes each row appear once."""
-    files = stream_files(spark, files_dir, pattern, max_files)
-    rows = extract_fields(files, "content", fields, worker)
-    raw = conform(
-        rows.withColumn("extraction_id", F.xxhash64("file_name", "last_modified"))
-        .withColumn("extraction_timestamp", _now(as_of)),
-        RAW_JSON,
-    )
+    """New files to rows of the landing table. The file sink's log makes each row appear once.
+
+    With a ``separator`` a file holds many documents, each a row with a key of its own.
+    """
+    if separator is None:
+        files = stream_files(spark, files_dir, pattern, max_files)
+        keyed = files.withColumn("extraction_id", F.xxhash64("file_name", "last_modified"))
+    else:
+        keyed = stream_documents(spark, files_dir, separator, pattern, max_files).withColumnRenamed("document_id", "extraction_id")
+    raw = conform(extract_fields(keyed, "content", fields, worker).withColumn("extraction_timestamp", _now(as_of)), RAW_JSON)
     return (
         raw.writeStream.format("parquet").outputMode("append")
         .option("path", raw_path).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
@@ -175,36 +178,30 @@ def start_append(df: DataFrame, path: str, checkpoint: str, every: str | None =
 
 
 def start_unique_stream(
-    invoices: DataFrame, stored_path: str, checkpoint: str, every: str | None = None
+    invoices: DataFrame, stored_path: str, checkpoint: str, every: str | None = None, numbers_path: str | None = None, fan: int = 4
 ) -> StreamingQuery:
     """New invoices whose number was not stored before, one per number.
 
-    The stored table is the memory: no state to expire, so a number that comes back after
-    any time is found. Rows without a number are all kept.
+    The memory are the stored numbers in hash buckets beside the table (``numbers_path``): no state to expire, so a number
+    that comes back after any time is found, and a batch reads its own buckets only. Rows without a number are all kept.
     """
-    spark, schema = invoices.sparkSession, invoices.schema
+    path = numbers_path or f"{stored_path.rstrip('/')}-numbers"
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        stored = _stored_before(spark, stored_path, schema, batch_id)
-        rows = batch.persist()
-        try:
-            write_batch(new_invoices(rows, stored, batch_rows=rows.count()), stored_path, batch_id)
-        finally:
-            rows.unpersist()
+        spark = batch.sparkSession
+        if numbers.has_batch(spark, path, batch_id):  # all of it was written before
+            return
+        fresh = written(latest_invoices(batch), "fresh")
+        asked = fresh.select("invoice_number").filter("invoice_number is not null")
+        write_batch(fresh.join(numbers.known(spark, path, asked), "invoice_number", "left_anti").select(batch.columns), stored_path, batch_id)
+        numbers.remember(spark, path, batch_id, asked)
+        numbers.roll_up(spark, path, fan)
 
     return (
         invoices.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
     )
 
 
-def _stored_before(spark: SparkSession, path: str, schema, batch_id: int) -> DataFrame:
-    """Rows of earlier batches; the batch's own folder from an interrupted try does not count."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
-    return stored.parquet(path).filter(F.col("batch_id") < batch_id).drop("batch_id")
-
-
 def run_once(starters: list[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
     """Start each job when the one before it has finished; no new data means no batch."""
     done = []
