@@ -36,6 +36,7 @@ from docflow.llm.hashing import joined
 
 LEAST, MEAN_BITS, MOST = 256, 10, 8192  # bytes of a chunk: at least, 2^n between cuts, at most
 BLOCK_BYTES = 2 << 20  # text of a block of documents
+GROUP_BYTES = 1 << 19  # text that the library encodes at once
 NEAR = 48  # tokens looked at first for a safe place
 SAFE = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 ROWS = "key binary, block long, kind int, doc_id long, payload binary"
@@ -114,14 +115,15 @@ def _bits(keys: list[bytes]) -> np.ndarray:
 
 def _filter_slices(batches):
     """The task's share of the filter, slice by slice."""
-    mask = np.zeros(1 << FILTER_BITS, bool)
+    mask = np.zeros(1 << FILTER_BITS - 3, np.uint8)
     for batch in batches:
         if batch.num_rows:
-            mask[_bits(batch.column(0).to_pylist()).ravel()] = True
-    for i, part in enumerate(mask.reshape(-1, 1 << SLICE_BITS)):
+            at = _bits(batch.column(0).to_pylist()).ravel().astype(np.int64)
+            np.bitwise_or.at(mask, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+    for i, part in enumerate(mask.reshape(-1, 1 << SLICE_BITS - 3)):
         if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zstandard.compress(
-                np.packbits(part).tobytes(), 1)], pa.binary())], ["slice", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zstandard.compress(part.tobytes(), 1)], pa.binary())],
+                                             ["slice", "bits"])
 
 
 def _united(table: pa.Table) -> pa.Table:
@@ -213,8 +215,17 @@ def token_bytes(path: str) -> tuple[list[bytes], np.ndarray]:
 
 
 def encode(path: str, texts: list[bytes]) -> list[np.ndarray]:
-    found = tokenizer(path).encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-    return [np.array(e.ids, np.uint32) for e in found]
+    """Ids of each text, about ``GROUP_BYTES`` of text at a time: what the library makes takes many times the text."""
+    out, at = [], 0
+    while at < len(texts):
+        size, end = 0, at
+        while end < len(texts) and size < GROUP_BYTES:
+            size += len(texts[end])
+            end += 1
+        found = tokenizer(path).encode_batch_fast([t.decode() for t in texts[at:end]], add_special_tokens=False)
+        out += [np.array(e.ids, np.uint32) for e in found]
+        at = end
+    return out
 
 
 def decode(path: str, ids: np.ndarray) -> bytes:
