@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from docflow.functions.casts import ago, at, seconds_between, size_category, size_kb
 from docflow.operators.analytics import count_when
 from docflow.schemas import RUN_LOG
+from docflow.session import cut_lineage
 from docflow.sources.tables import conform
 
 
@@ -83,6 +84,44 @@ def size_summary(raw: DataFrame, log: DataFrame, name: str) -> DataFrame:
     )
 
 
+def run_of_each_file(raw: DataFrame, log: DataFrame, name: str) -> DataFrame:
+    """Every file with the last successful run of the job that was scheduled when it was extracted or before; of runs of
+    one time the one that began and ended last, and none before the first run."""
+    runs = log.filter((F.col("name") == name) & (F.col("state") == "SUCCEEDED"))
+    runs = with_duration(runs).select("scheduled_time", "query_start_time", "completed_time", "execution_seconds")
+    files = raw.select("file_name", "file_size", "extraction_timestamp")
+    return as_of_join(files, runs, "extraction_timestamp", "scheduled_time", ["query_start_time", "completed_time"], "file_name")
+
+
+def as_of_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, order: list[str], spread: str) -> DataFrame:
+    """``left`` with the columns of the last ``right`` row whose time is not after its own; ``order`` decides among equal times.
+
+    Both sides are sorted together in ranges of time, each range hands the last right row it has to those behind it, so a
+    left row is one row however many right rows share its minute. Left rows of one time are spread by ``spread``. Left
+    rows without a time have no right row.
+    """
+    at, none = F.col(right_time), F.lit(None)
+    found = F.struct(*[F.col(c) for c in right.columns])
+    kind = T.StructType(right.schema.fields)
+    rows = right.filter(at.isNotNull()).select(
+        at.alias("_time"), F.lit(0).alias("_side"), F.struct(*order).alias("_order"), F.lit(0).cast("bigint").alias("_spread"),
+        none.cast(T.StructType(left.schema.fields)).alias("_left"), found.alias("_right"))
+    rows = rows.unionByName(left.select(
+        F.col(left_time).alias("_time"), F.lit(1).alias("_side"), none.cast(rows.schema["_order"].dataType).alias("_order"),
+        F.xxhash64(spread).alias("_spread"), F.struct(*left.columns).alias("_left"), none.cast(kind).alias("_right")))
+    keys = ["_time", "_side", "_order", "_spread"]
+    placed = cut_lineage(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(
+        "_part", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()))
+    # A row per range: the last right row in it, then of all ranges before.
+    ends = placed.groupBy("_part").agg(F.max_by(F.when(F.col("_side") == 0, F.col("_right")), F.when(F.col("_side") == 0, F.col("_pos"))).alias("_end"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("_part", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    here = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    met = placed.withColumn("_here", F.last("_right", ignorenulls=True).over(here)).filter("_side = 1").join(F.broadcast(carried), "_part")
+    last = F.when(F.col("_time").isNotNull(), F.coalesce("_here", "_carried"))
+    return met.select("_left.*", last.alias("_run")).select(*left.columns, "_run.*")
+
+
 def failed_runs(log: DataFrame, limit: int = 5) -> DataFrame:
     return (
         log.filter(F.col("state") == "FAILED")

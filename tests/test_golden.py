@@ -221,3 +221,25 @@ def test_metric_grain(spark):
     per = {r.unit_of_measure: (r.total_revenue, r.total_line_items) for r in
            m.semantic_query(model, tables, ["uom"], names[:2]).collect()}
     assert per == {"EA": (D("100.00"), 3), None: (D("50.00"), 0)}
+
+
+def test_character_references(spark):
+    from docflow.operators.documents import decode
+
+    rows = [
+        ("no reference", "no reference"), ("", ""), (None, None), ("a & b &", "a & b &"), ("&lt;b&gt; &quot;&apos;&amp;&#39;", "<b> \"'&'"),
+        ("it&#8217;s &mdash; caf&eacute; &Eacute;", "it\u2019s \u2014 caf\u00e9 \u00c9"), ("&#x1F600;&#X41;&#65;&#x00e9;", "\U0001f600AA\u00e9"),
+        ("&#xD800;|&#0;|&#x110000;|&#99999999;", "\ufffd|\ufffd|\ufffd|\ufffd"), ("&#150;&#128;&#129;", "\u2013\u20ac\x81"), ("a&nbsp;b&#160;c&#xa0;d", "a b c d"),
+        ("&amp;lt; &amp;#65;", "&lt; &#65;"), ("&unknown; &copy &#65 &#; &#x;", "&unknown; &copy &#65 &#; &#x;"), ("&hearts;&&hearts;", "\u2665&\u2665"),
+    ]
+    got = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i INT, t STRING").select("i", decode(F.col("t")).alias("d")).collect()
+    assert [r.d for r in sorted(got)] == [want for _, want in rows]
+
+
+def test_links_in_any_quotes(spark):
+    from docflow.operators.documents import parse_documents
+
+    html = """<p>x</p><a class=k href="/a?x=1&amp;y=2">1</a><A HREF = '/b "q"'>2</A><a href=/c>3</a><a data-href="no">4</a><a href=''>5</a><area href="no">"""
+    row = parse_documents(spark.createDataFrame([(html,)], "h STRING"), "h").select(
+        F.try_variant_get("parsed_content", "$.links", "array<string>").alias("l")).first()
+    assert row.l == ["/a?x=1&y=2", '/b "q"', "/c", ""]
