@@ -115,6 +115,20 @@ def _(t):
     return by_vendor(*jobs.read_tables(t.spark, f"{base}/tables"))
 
 
+@query("s5b_land_with_dense_ids", with_tables("""
+SELECT COUNT(DISTINCT vendor_name) AS documents, COUNT(DISTINCT vendor_name) AS ids, CAST(1 AS BIGINT) AS first_id,
+  COUNT(DISTINCT vendor_name) AS last_id, COUNT(DISTINCT vendor_name) AS refused FROM invoice""", "invoice"))
+def _(t):
+    base, files = scratch(t.spark, "s5b"), statements(t)
+    # With a new checkpoint the stream reads the files again; what landed before is refused.
+    jobs.run_once([lambda run=run: jobs.start_landing_stream(
+        t.spark, files, f"{base}/store", f"{base}/{run}", FULL, pattern="*.txt", as_of=AS_OF) for run in ("first", "second")])
+    raw, refused = jobs.read_landed(t.spark, f"{base}/store")
+    counts = raw.agg(F.count("*").alias("documents"), F.count_distinct("extraction_id").alias("ids"),
+                     F.min("extraction_id").alias("first_id"), F.max("extraction_id").alias("last_id"))
+    return counts.withColumn("refused", refused.agg(F.count("*")).scalar())
+
+
 @query("t2_parse_stream", TABLES_SQL)
 def _(t):
     base, path = scratch(t.spark, "t2"), landed(t)

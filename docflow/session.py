@@ -42,6 +42,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/docflow/{name}-{uuid.uuid4().hex}"
 
 
+def store(spark: SparkSession, path: str):
+    """The Hadoop file system of a path and what makes paths of it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read again instead of computed again."""
     path = scratch(df.sparkSession, name)

@@ -12,12 +12,15 @@ Batch ids must ascend; one stream writes a store. A roll-up may run beside it, i
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from docflow.session import store
+
 MARK = "~"  # between the parts of a log file's name
 
 
@@ -30,18 +33,12 @@ class Interval:
     tables: tuple[str, ...]
 
 
-def _store(spark: SparkSession, path: str):
-    """The Hadoop file system of a path and what makes paths of it."""
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
-
-
 def _name(one: Interval) -> str:
     return MARK.join([str(one.low), str(one.high), str(one.level), "+".join(one.tables), one.folder])
 
 
 def _published(spark: SparkSession, path: str) -> list[Interval]:
-    fs, make = _store(spark, path)
+    fs, make = store(spark, path)
     log = make(f"{path}/log")
     if not fs.exists(log):
         return []
@@ -67,11 +64,28 @@ def live(spark: SparkSession, path: str) -> list[Interval]:
 
 
 def _publish(spark: SparkSession, path: str, one: Interval) -> None:
-    fs, make = _store(spark, path)
+    fs, make = store(spark, path)
     fs.mkdirs(make(f"{path}/log"))
     fs.createNewFile(make(f"{path}/log/{_name(one)}"))
 
 
+def first_id(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """What to add to the batch ids of a stream with this checkpoint: a stream whose checkpoint is new begins behind all
+    published batches, though its own ids begin at 0 again. Ask before the stream starts."""
+    fs, make = store(spark, path)
+    runs, key = make(f"{path}/runs"), hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    fs.mkdirs(runs)
+    known = [name.split("-") for name in (s.getPath().getName() for s in fs.listStatus(runs))]
+    mine = [int(base) for one, base in known if one == key]
+    there, at = store(spark, checkpoint)
+    offsets = at(f"{checkpoint}/offsets")
+    if there.exists(offsets) and len(there.listStatus(offsets)):
+        return max(mine, default=0)
+    base = max((x.high for x in live(spark, path)), default=0)
+    fs.createNewFile(make(f"{path}/runs/{key}-{base}"))
+    return base
+
+
 def write(spark: SparkSession, path: str, batch_id: int, tables: Callable[[str], list[str]]) -> bool:
     """``tables(folder)`` writes the batch's tables into ``folder`` and names them; False if the batch was there already."""
     seen = live(spark, path)
@@ -155,7 +169,7 @@ def vacuum(spark: SparkSession, path: str) -> int:
     last roll-up may still read them, so call it when there are none."""
     seen = _published(spark, path)
     kept = {x.folder for x in _outer(seen)}
-    fs, make = _store(spark, path)
+    fs, make = store(spark, path)
     gone = [x for x in seen if x.folder not in kept]
     for x in gone:  # the log first: a reader must not be sent to a folder that is gone
         fs.delete(make(f"{path}/log/{_name(x)}"), False)

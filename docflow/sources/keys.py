@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docflow.session import cut_lineage
+from docflow.session import cut_lineage, store
 
 # monotonically_increasing_id keeps the row position in its lower 33 bits.
 POSITION_BITS = 33
@@ -54,6 +54,27 @@ def dense_ids(df: DataFrame, order_cols: list[str], name: str, start: int = 1) -
     )
 
 
+def reserve(spark: SparkSession, path: str, batch_id: int, n: int) -> int:
+    """The first of ``n`` consecutive ids that belong to a batch; the same for a batch that runs again.
+
+    Each batch has a file in the log at ``path``, named after its id, first id and number, and begins where the last one
+    before it ended. One stream writes a log; it must ask in the order of its batches.
+    """
+    fs, make = store(spark, path)
+    fs.mkdirs(make(path))
+    taken = [tuple(map(int, s.getPath().getName().split("-"))) for s in fs.listStatus(make(path))]
+    for batch, first, size in taken:
+        if batch == batch_id:
+            if size != n:
+                raise ValueError(f"batch {batch_id} had {size} rows before, not {n}")
+            return first
+    first = max((first + size for batch, first, size in taken if batch < batch_id), default=1)
+    if any(batch > batch_id for batch, _, _ in taken):
+        raise ValueError(f"batch {batch_id} comes after a later one")
+    fs.createNewFile(make(f"{path}/{batch_id}-{first}-{n}"))
+    return first
+
+
 def unique_path(name: Column, key: Column, day: Column) -> Column:
     """``invoices/MM-dd-yyyy/<stem>_<8 hex of key>.<ext>``."""
     from docflow.functions.casts import file_extension, file_stem

@@ -15,10 +15,11 @@ from docflow.operators.extract import extract_fields
 from docflow.operators.normalize import parse_header, parse_lines
 from docflow.operators.quality import latest_invoices
 from docflow.operators.runlog import append_run_log, run_row
-from docflow.schemas import INVOICE, INVOICE_DETAIL, PARSED, RAW_JSON
+from docflow.schemas import FILES, INVOICE, INVOICE_DETAIL, PARSED, RAW_JSON
 from docflow.session import written
 from docflow.sources import batches, numbers
 from docflow.sources.files import PDF, stream_documents, stream_files
+from docflow.sources.keys import dense_ids, reserve
 from docflow.sources.tables import conform, write_batch
 
 
@@ -52,6 +53,52 @@ def start_extract_stream(
     )
 
 
+def start_landing_stream(
+    spark: SparkSession, files_dir: str, store_path: str, checkpoint: str, fields: dict, pattern: str = PDF,
+    max_files: int | None = None, every: str | None = None, worker: Callable | None = None, as_of: str | None = None,
+    separator: str | None = None, fan: int = 4,
+) -> StreamingQuery:
+    """As ``start_extract_stream``, with consecutive ids in place of hashed ones, and each document once.
+
+    A document is known by its file's name and time and its text. One that landed before, also in another run over the
+    same files, is refused and listed (``refused``). Ids of a batch are reserved before it is written, so a batch that runs
+    again has the same ones.
+    """
+    if separator is None:
+        files = stream_files(spark, files_dir, pattern, max_files)
+    else:
+        files = stream_documents(spark, files_dir, separator, pattern, max_files)
+    text = F.col("content") if separator else F.coalesce(F.col("content").cast("string"), F.lit(""))
+    named = files.withColumn("_key", F.concat_ws("|", "file_name", F.col("last_modified").cast("string"), F.sha2(text.cast("binary"), 256)))
+
+    base = batches.first_id(spark, f"{store_path}/keys", checkpoint)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        session, batch_id = batch.sparkSession, base + batch_id
+        if numbers.has_batch(session, f"{store_path}/keys", batch_id):
+            return
+        came = written(batch.dropDuplicates(["_key"]), "came")
+        known = numbers.known(session, f"{store_path}/keys", came.select("_key"))
+        fresh = came.join(known, "_key", "left_anti")
+        first = reserve(session, f"{store_path}/ids", batch_id, fresh.count())
+        ids = dense_ids(fresh.select("_key"), ["_key"], "extraction_id", first)
+        rows = extract_fields(fresh.join(ids, "_key"), "content", fields, worker).withColumn("extraction_timestamp", _now(as_of))
+        refused = came.join(known, "_key", "left_semi").select("file_name", "file_url", "file_size", "last_modified")
+        batches.write_tables(session, f"{store_path}/tables", batch_id, raw=conform(rows, RAW_JSON), refused=refused)
+        numbers.remember(session, f"{store_path}/keys", batch_id, came.select("_key"))
+        batches.roll_up_tables(session, f"{store_path}/tables", fan=fan)
+        numbers.roll_up(session, f"{store_path}/keys", fan)
+
+    return named.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
+
+
+def read_landed(spark: SparkSession, store_path: str) -> tuple[DataFrame, DataFrame]:
+    """The landing table and the refused documents."""
+    found = batches.live(spark, f"{store_path}/tables")
+    return (batches.read_from(spark, f"{store_path}/tables", found, "raw", RAW_JSON),
+            batches.read_from(spark, f"{store_path}/tables", found, "refused", FILES))
+
+
 def start_document_stream(
     spark: SparkSession, files_dir: str, parsed_path: str, checkpoint: str, pattern: str = "*",
     kind: str = "html", max_files: int | None = None, every: str | None = None, as_of: str | None = None,
@@ -77,9 +124,11 @@ def start_parse_stream(
     """New landing rows to headers and lines. Both come from the same batch, read twice from
     its files (cheaper than holding the documents), and are published together; batches are rolled up ``fan`` at a time."""
 
+    base = batches.first_id(raw.sparkSession, tables_path, checkpoint)
+
     def both(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batches.write_tables(spark, tables_path, batch_id, invoice=parse_header(batch), invoice_detail=parse_lines(batch, pad))
+        batches.write_tables(spark, tables_path, base + batch_id, invoice=parse_header(batch), invoice_detail=parse_lines(batch, pad))
         batches.roll_up_tables(spark, tables_path, fan=fan)
 
     return (
@@ -99,8 +148,10 @@ def start_index_stream(
 ) -> StreamingQuery:
     """New, changed and removed (status REMOVED) documents into the stored search index; ``every`` is the lag it may have."""
 
+    base = batches.first_id(parsed.sparkSession, index_path, checkpoint)
+
     def add(batch: DataFrame, batch_id: int) -> None:
-        stored_index.add(batch.sparkSession, index_path, batch, batch_id, shards=shards)
+        stored_index.add(batch.sparkSession, index_path, batch, base + batch_id, shards=shards)
         stored_index.roll_up(batch.sparkSession, index_path, fan)
 
     return (
@@ -129,8 +180,10 @@ def start_counts(
     """The counts of each micro-batch, to be added up by ``read_counts``: no state, no watermark, so a row counts however
     late it comes and the newest hours are there at once. ``fan`` batches at a time are added up into one."""
 
+    base = batches.first_id(df.sparkSession, path, checkpoint)
+
     def add(batch: DataFrame, batch_id: int) -> None:
-        batches.write_tables(batch.sparkSession, path, batch_id, counts=counts(batch))
+        batches.write_tables(batch.sparkSession, path, base + batch_id, counts=counts(batch))
         roll_up_counts(batch.sparkSession, path, fan)
 
     return df.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
@@ -186,9 +239,10 @@ def start_unique_stream(
     that comes back after any time is found, and a batch reads its own buckets only. Rows without a number are all kept.
     """
     path = numbers_path or f"{stored_path.rstrip('/')}-numbers"
+    base = batches.first_id(invoices.sparkSession, path, checkpoint)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, batch_id = batch.sparkSession, base + batch_id
         if numbers.has_batch(spark, path, batch_id):  # all of it was written before
             return
         fresh = written(latest_invoices(batch), "fresh")

@@ -25,16 +25,16 @@ def want(n):
 
 def test_many_batches_lie_in_a_few_folders(spark, tmp_path):
     path = str(tmp_path / "counts")
-    for i in range(63):
+    for i in range(31):
         put(spark, path, i)
         jobs.roll_up_counts(spark, path)
-        if i % 30 == 29:
+        if i % 15 == 14:
             assert totals(spark, path) == want(i + 1)
             batches.vacuum(spark, path)
-    assert len(batches.live(spark, path)) <= math.log2(64)
+    assert len(batches.live(spark, path)) <= math.log2(32)
     batches.vacuum(spark, path)
-    assert len([f for f in os.listdir(path) if f != "log"]) == len(batches.live(spark, path)) <= math.log2(64)
-    assert totals(spark, path) == want(63)
+    assert len([f for f in os.listdir(path) if f != "log"]) == len(batches.live(spark, path)) <= math.log2(32)
+    assert totals(spark, path) == want(31)
 
 
 def test_a_batch_counts_when_it_is_whole_and_once(spark, tmp_path):

@@ -7,6 +7,7 @@ import pytest
 from docflow.operators.extract import BASIC
 from docflow.schemas import RAW_JSON
 from docflow.sources import batches, numbers
+from docflow.sources.keys import reserve
 from docflow.sources.tables import read_table
 from docflow.streaming import jobs
 
@@ -65,3 +66,45 @@ def test_documents_of_a_file_do_not_depend_on_its_splits(spark, tmp_path, split)
     assert sorted(r.number for r in rows) == sorted([f"N-{i}" for i in range(60)] + ["ONE"])
     assert len({r.extraction_id for r in rows}) == 61
     assert {r.file_name for r in rows} == {"many.txt", "one.txt"}
+
+
+def test_landing_gives_consecutive_ids_and_refuses_what_landed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(numbers, "BUCKETS", 1)  # all keys collide in their bucket
+    files, base = tmp_path / "files", str(tmp_path / "store")
+    files.mkdir()
+
+    def run(checkpoint):
+        jobs.run_once([lambda: jobs.start_landing_stream(
+            spark, str(files), base, str(tmp_path / checkpoint), BASIC, pattern="*.txt", max_files=1)])
+
+    for i in range(4):
+        (files / f"{i}.txt").write_text(f"Invoice Number: N-{i}\n")
+    run("a")
+    (files / "4.txt").write_text("nothing")
+    run("a")
+    run("b")  # all files again
+    raw, refused = jobs.read_landed(spark, base)
+    assert sorted(r.extraction_id for r in raw.collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r.file_name for r in refused.collect()) == [f"{i}.txt" for i in range(5)]
+    assert {r.file_name for r in raw.filter("processing_status = 'ERROR'").collect()} == {"4.txt"}
+
+
+def test_a_batch_that_runs_again_has_the_same_ids(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    assert [reserve(spark, path, b, n) for b, n in ((0, 5), (1, 0), (2, 7), (1, 0), (0, 5), (3, 1))] == [1, 6, 6, 6, 1, 13]
+    with pytest.raises(ValueError):
+        reserve(spark, path, 2, 8)
+
+
+def test_a_new_checkpoint_goes_on_behind_the_last_batch(spark, tmp_path):
+    path = str(tmp_path / "s")
+    assert batches.first_id(spark, path, str(tmp_path / "c1")) == 0
+    batches.write_tables(spark, path, 0, t=spark.range(1))
+    (tmp_path / "c1" / "offsets").mkdir(parents=True)
+    (tmp_path / "c1" / "offsets" / "0").write_text("")
+    assert batches.first_id(spark, path, str(tmp_path / "c1")) == 0
+    assert batches.first_id(spark, path, str(tmp_path / "c2")) == 1
+    (tmp_path / "c2" / "offsets").mkdir(parents=True)
+    (tmp_path / "c2" / "offsets" / "0").write_text("")
+    batches.write_tables(spark, path, 1, t=spark.range(1))
+    assert batches.first_id(spark, path, str(tmp_path / "c2")) == 1
