@@ -251,6 +251,27 @@ def test_blocks_end_where_html_ends_them(html, texts):
     assert pages.blocks(html)[1] == texts
 
 
+@pytest.mark.parametrize("html, texts", [
+    ('<article><div style="overflow:hidden"><p>real</p></div><p title="the hidden valley">text</p><p data-hidden=1>x</article>', ["real", "text", "x"]),
+    ('<article><p hidden>x<p HIDDEN="">x<p style="color:red; Display : None">x<p style="visibility:hidden!important">x<p>y</article>', ["y"]),
+    ('<article><p class="side-by-side">a<p id="related-work">b<p id=search-results>c<p class="alert-level">d<p class="adage">e</article>', list("abcde")),
+    ('<article><div class="k related-posts">x</div><p id=site-footer>x<p class="cookie-notice">x<p class=ad_box-2>x<p role=Alert>x<p>y</article>', ["y"]),
+    ('<main><h1>T</h1><p>the story</p><article class="card">teaser</article></main>', ["T", "the story", "teaser"]),
+    ('<main><p>by</p><article>the story itself</article></main>', ["the story itself"]),
+    ('<main><p>short</p></main><article>the much longer story</article>', ["the much longer story"]),
+])
+def test_only_furniture_is_left_out(html, texts):
+    assert pages.blocks(html)[1] == texts
+
+
+def test_no_pages_and_a_very_long_one(spark):
+    schema = "page_id long, url string, html string"
+    assert pages.main_text(prepare(spark).createDataFrame([], schema)).collect() == []
+    text = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(1, "https://a.example", f"<article><p>{text}</p></article>"), (2, "https://a.example", f"<div>{text}</div>")]
+    assert {r.text for r in pages.main_text(spark.createDataFrame(rows, schema)).collect()} == {text}
+
+
 def test_pages_without_marks_lose_what_their_host_repeats(spark, monkeypatch):
     monkeypatch.setattr(pages, "SHARD", 16)  # a hot host is split; the counts of its shards add up
     menu, foot = "Home News About Contact Login Register Search Help", "All rights reserved by the owner of this site"
