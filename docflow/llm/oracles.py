@@ -47,12 +47,21 @@ VALID = {
 }
 
 
+# Context words of the kinds, and the scores without and with one of them nearby.
+CONTEXT = {
+    "email": ("e-?mail|contact|write|mailto", "0.8", "1.0"), "ip": ("ip|host|server|address|login", "0.5", "0.7"),
+    "card": ("card|visa|mastercard|credit|payment|cvv", "0.7", "0.9"), "phone": ("phone|tel|call|mobile|fax|whatsapp", "0.6", "0.8"),
+    "iban": ("iban|account|bank|transfer|konto", "0.8", "1.0")}
+
+
 def _spans(kind: str, order: int) -> str:
-    pattern = PATTERNS[kind]
-    return f"""SELECT doc_id, {order} AS k, '{kind}' AS kind, m, s, s + LENGTH(m) AS e FROM (
-  SELECT doc_id, ms[i] AS m, LIST_SUM(LIST_TRANSFORM(ps[1:i], lambda x: LENGTH(x)))
-    + COALESCE(LIST_SUM(LIST_TRANSFORM(ms[1:i - 1], lambda x: LENGTH(x))), 0) AS s FROM
-  (SELECT doc_id, ms, ps, UNNEST(RANGE(1, LEN(ms) + 1)) AS i FROM (SELECT doc_id, REGEXP_EXTRACT_ALL(text, '{pattern}') AS ms,
+    pattern, (words, without, near) = PATTERNS[kind], CONTEXT[kind]
+    around = "SUBSTR(text, GREATEST(s - 40, 0) + 1, s - GREATEST(s - 40, 0)) || CHR(10) || SUBSTR(text, s + LENGTH(m) + 1, 40)"
+    return f"""SELECT doc_id, {order} AS k, '{kind}' AS kind, m, s, s + LENGTH(m) AS e,
+  CASE WHEN REGEXP_MATCHES({around}, '(?i)\\b(?:{words})\\b') THEN '{near}' ELSE '{without}' END AS score FROM (
+  SELECT doc_id, text, ms[i] AS m, CAST(LIST_SUM(LIST_TRANSFORM(ps[1:i], lambda x: LENGTH(x)))
+    + COALESCE(LIST_SUM(LIST_TRANSFORM(ms[1:i - 1], lambda x: LENGTH(x))), 0) AS BIGINT) AS s FROM
+  (SELECT doc_id, text, ms, ps, UNNEST(RANGE(1, LEN(ms) + 1)) AS i FROM (SELECT doc_id, text, REGEXP_EXTRACT_ALL(text, '{pattern}') AS ms,
     STRING_SPLIT_REGEX(text, '{pattern}') AS ps FROM documents WHERE text IS NOT NULL))) WHERE {VALID[kind]}"""
 
 
@@ -60,9 +69,9 @@ PERSONAL = "WITH s AS (" + "\n  UNION ALL ".join(_spans(k, i) for i, k in enumer
   g AS (SELECT doc_id, COUNT(*) FILTER (kind = 'email') AS n_email, COUNT(*) FILTER (kind = 'ip') AS n_ip,
     COUNT(*) FILTER (kind = 'card') AS n_card, COUNT(*) FILTER (kind = 'phone') AS n_phone,
     STRING_AGG(kind || ':' || s || ':' || e, ',' ORDER BY k, s) FILTER (k < 4) AS base,
-    STRING_AGG(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans FROM s GROUP BY 1)
+    STRING_AGG(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans, STRING_AGG(score, ',' ORDER BY k, s) AS scores FROM s GROUP BY 1)
 SELECT d.doc_id, COALESCE(n_email, 0) AS n_email, COALESCE(n_ip, 0) AS n_ip, COALESCE(n_card, 0) AS n_card,
-  COALESCE(n_phone, 0) AS n_phone, SHA256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans
+  COALESCE(n_phone, 0) AS n_phone, SHA256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans, COALESCE(scores, '') AS scores
 FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id"""
 
 JACCARD = rf"""

@@ -23,6 +23,7 @@ from docflow.llm.common import documents
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 NONE = "array<string>"
 CONTEXT = 40  # characters read on either side of a span
+NEAR = 0.2  # what a context word among them adds to the score
 
 
 def _digits(match: Column) -> Column:
@@ -70,7 +71,7 @@ KINDS = (
          r"\+[0-9][\x20().0-9-]+[0-9]",
          lambda m: F.length(_digits(m)).between(9, 15), "phone|tel|call|mobile|fax|whatsapp", 0.6, True),
     Kind("iban", lambda t: t.rlike("[A-Z]{2}[0-9]{2}[\\x20A-Z0-9]{11}"),
-         r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+         r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
          _mod97, "iban|account|bank|transfer|konto", 0.8, False),
 )
 
@@ -94,9 +95,9 @@ def _places(text: Column, kind: Kind, matches: Column) -> Column:
         before = F.greatest(span.start - CONTEXT, F.lit(0))
         around = F.concat(text.substr((before + 1).cast("int"), (span.start - before).cast("int")), F.lit("\n"),
                           text.substr((span.end + 1).cast("int"), F.lit(CONTEXT)))
-        near = around.rlike(rf"(?i)\b(?:{kind.context})\b")
+        near = around.rlike(rf"(?i)(?<![A-Za-z0-9_])(?:{kind.context})(?![A-Za-z0-9_])")
         return F.struct(F.lit(kind.name).alias("kind"), span.start.alias("start"), span.end.alias("end"),
-                        (F.lit(kind.score) + F.when(near, 0.2).otherwise(0.0)).alias("score"))
+                        F.when(near, round(kind.score + NEAR, 1)).otherwise(kind.score).alias("score"))
 
     return F.transform(F.filter(found, lambda s: kind.valid(s.match)), scored)
 
@@ -128,12 +129,13 @@ def _listed(spans: Column) -> Column:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Per document: counts of the base kinds, the digest of the base spans, all spans."""
+    """Per document: counts of the base kinds, the digest of the base spans, all spans and, in their order, their scores."""
     base = [k.name for k in KINDS if k.base]
     found = find(documents(docs), "text", "found").select("doc_id", "found")
     count = [F.size(_of("found", [k])).cast("long").alias(f"n_{k}") for k in base]
+    scores = F.array_join(F.transform("found", lambda s: F.format_number(s.score, 1)), ",")
     return found.select("doc_id", *count, F.sha2(_listed(_of("found", base)), 256).alias("base_sha256"),
-                        _listed(F.col("found")).alias("spans"))
+                        _listed(F.col("found")).alias("spans"), scores.alias("scores"))
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -11,15 +11,16 @@ that a level parts; levels below the sample count as the worst of those measured
 Within a component, vectors are then compared block by block to count each one's links: one row for a vector and
 block, never one for a pair, and a component of any size is spread over tasks.
 
-Equal vectors are one node with a weight. Vectors that are null, zero, of another length than the most common one, or
-hold null or non-finite components link with nothing. Rows that share an id are told apart by their vectors; rows
+Where the depth asks for more than ``MOST_TREES``, leaves are made larger until it does not, so no recall is given up.
+
+Equal vectors are one node with a weight. Vectors that are null, empty, zero, or hold null or non-finite components link with
+nothing; vectors of different lengths don't link with each other. Rows that share an id are told apart by their vectors; rows
 with a null id are compared too, but named by null. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import hashlib
-import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,13 +34,14 @@ from docflow.llm.graph import components
 COSINE = 0.9
 TREES = 4  # at least
 RECALL = 0.999  # share of pairs at COSINE, linked by nothing else, that some tree is to keep together
-MOST_TREES = 64  # beyond them a warning tells the recall to expect
+MOST_TREES = 64  # beyond them leaves grow instead
 PROBES = 1024  # such pairs made for a tree that is measured
 MEASURED = 4  # trees measured
 LEAF = 384  # vectors compared with each other at most
 SPILL = 0.12  # share of a node's vectors that goes to both sides
 NODE = 6000  # vectors of a node that one task splits further, about
 SAMPLE = 40_000  # vectors the upper levels are fitted on, at most
+SAMPLE_BYTES = 64 << 20  # and their bytes
 BLOCK = 1024  # vectors of a component compared at once
 
 
@@ -112,20 +114,35 @@ def kept_together(sample: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return np.array(shares)
 
 
+def level_shares(sample: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """``kept_together`` of several trees, averaged."""
+    measured = [kept_together(sample, rng) for _ in range(MEASURED)]
+    return np.mean([m[:min(map(len, measured))] for m in measured], axis=0)
+
+
 def survival(sample: np.ndarray, levels: int, rng: np.random.Generator) -> float:
     """Share of pairs at ``COSINE`` that one tree of so many levels holds together."""
-    measured = [kept_together(sample, rng) for _ in range(MEASURED)]
-    shares = np.mean([m[:min(map(len, measured))] for m in measured], axis=0)[:levels + 1]
+    return held_together(level_shares(sample, rng), levels)
+
+
+def held_together(measured: np.ndarray, levels: int) -> float:
+    """``survival`` by shares that were measured; levels below count as the worst of them."""
+    shares = measured[:levels + 1]
     worst = (shares[1:] / np.maximum(shares[:-1], 1e-12)).min(initial=1.0)
     return float(shares[-1] * worst ** (levels + 1 - len(shares)))
 
 
 def n_trees(share: float) -> int:
     """Trees after which a pair that each holds together with probability ``share`` has met with probability ``RECALL``."""
-    wanted = TREES if share >= 1 else max(TREES, int(np.ceil(np.log(1 - RECALL) / np.log1p(-max(share, 1e-9)))))
-    if wanted > MOST_TREES:
-        warnings.warn(f"{MOST_TREES} of {wanted} trees: isolated pairs are found with about {1 - (1 - share) ** MOST_TREES:.3f}", stacklevel=2)
-    return min(wanted, MOST_TREES)
+    return TREES if share >= 1 else max(TREES, int(np.ceil(np.log(1 - RECALL) / np.log1p(-max(share, 1e-9)))))
+
+
+def forest_size(measured: np.ndarray, total: int) -> tuple[int, int]:
+    """Trees and the size of their leaves: where ``MOST_TREES`` don't reach the recall, leaves are larger, up to all vectors."""
+    leaf = LEAF
+    while n_trees(held_together(measured, _levels(total, leaf))) > MOST_TREES:
+        leaf *= 2
+    return n_trees(held_together(measured, _levels(total, leaf))), leaf
 
 
 def _levels(total: int, least: int) -> int:
@@ -133,15 +150,15 @@ def _levels(total: int, least: int) -> int:
     return max(0, int(np.ceil(np.log(max(total, 1) / least) / -np.log(0.5 + SPILL / 2))))
 
 
-def leaves(x: np.ndarray, rows: np.ndarray, rng: np.random.Generator):
+def leaves(x: np.ndarray, rows: np.ndarray, rng: np.random.Generator, least: int):
     """Splits by rank until a leaf is small: equal projections cannot keep a node large."""
-    if len(rows) <= LEAF:
+    if len(rows) <= least:
         yield rows
         return
     order = rows[np.argsort(x[rows] @ rng.normal(size=x.shape[1]), kind="stable")]
     half, spill = len(order) // 2, max(1, int(len(order) * SPILL / 2))
-    yield from leaves(x, order[:half + spill], rng)
-    yield from leaves(x, order[half - spill:], rng)
+    yield from leaves(x, order[:half + spill], rng, least)
+    yield from leaves(x, order[half - spill:], rng, least)
 
 
 def _forest_links(x: np.ndarray, rows: np.ndarray, root: np.ndarray) -> list[tuple[int, int]]:
@@ -154,15 +171,17 @@ def _forest_links(x: np.ndarray, rows: np.ndarray, root: np.ndarray) -> list[tup
             i = int(root[i])
         return i
 
-    close = np.triu(x[rows] @ x[rows].T >= COSINE, 1)
-    for i in np.flatnonzero(close.any(1)):
-        a = find(int(rows[i]))
-        for j in rows[close[i]].tolist():
-            b = find(j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                a = min(a, b)
-                out.append((int(rows[i]), j))
+    for at in range(0, len(rows), BLOCK):  # a part of the leaf against what follows
+        part = rows[at:at + BLOCK]
+        close = np.triu(x[part] @ x[rows[at:]].T >= COSINE, 1)
+        for i in np.flatnonzero(close.any(1)):
+            a = find(int(part[i]))
+            for j in rows[at:][close[i]].tolist():
+                b = find(j)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    a = min(a, b)
+                    out.append((int(part[i]), j))
     return out
 
 
@@ -171,21 +190,18 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(len(column), -1)
 
 
-def _nodes(embeddings: DataFrame, id_col: str, vector_col: str):
+def _nodes(embeddings: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """Rows (vec_id, vector bytes or null): the unit vector in double precision where there is one."""
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-    sizes = rows.where("size(v) > 0").groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(
-        F.desc("c"), "n").limit(1).collect()
-    width = sizes[0].n if sizes else 0
 
     def pack(batches):
         for batch in batches:
             out = []
             for v in batch.column(1).to_pylist():
-                a = np.array(v if v is not None and len(v) == width and None not in v else [np.nan], float)
+                a = np.array(v if v and None not in v else [np.nan], float)
                 with np.errstate(over="ignore", invalid="ignore"):
-                    norm = np.linalg.norm(a / (np.abs(a).max() or 1)) if len(a) else 0.0
-                    ok = len(a) and np.isfinite(a).all() and norm > 0
+                    norm = np.linalg.norm(a / (np.abs(a).max() or 1))
+                    ok = np.isfinite(a).all() and norm > 0
                     out.append((a / np.abs(a).max() / norm).astype("<f8").tobytes() if ok else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "unit"])
 
@@ -230,20 +246,30 @@ def _tiles(near: DataFrame) -> DataFrame:
 
 
 def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 11) -> DataFrame:
-    """vec_id, n_links, component_id, kept per row."""
-    units = _nodes(embeddings, id_col, vector_col)
-    nodes = units.where("unit is not null").groupBy("unit").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least"))
+    """vec_id, n_links, component_id, kept per row. Vectors of each length are compared among themselves."""
+    units, length = _nodes(embeddings, id_col, vector_col), F.octet_length("unit")
+    lengths = [r.n for r in units.select(length.alias("n")).distinct().collect()]
+    out = units.where("unit is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for n in sorted(n for n in lengths if n is not None):
+        out = out.unionByName(_compared(units.where(length == n), seed))
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+def _compared(units: DataFrame, seed: int) -> DataFrame:
+    """vec_id, n_links, component_id of vectors of one length."""
+    nodes = units.groupBy("unit").agg(F.count("*").alias("weight"), F.min("vec_id").alias("least"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     total = nodes.count()
-    depth = _levels(total, NODE)
-    trees: list[Split | None] = [None] * TREES
+    leaf, trees = LEAF, [None] * TREES
     if total > LEAF:
-        share = min(1.0, SAMPLE / total)
+        most = max(LEAF, min(SAMPLE, SAMPLE_BYTES // len(nodes.first().unit)))
+        share = min(1.0, most / total)
         drawn = nodes.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20))).select(
-            "unit").limit(2 * SAMPLE)
+            "unit").limit(2 * most)
         sample = np.frombuffer(b"".join(r.unit for r in drawn.collect()), "<f8")
         sample = sample.reshape(-1, len(nodes.first().unit) // 8)
-        several = n_trees(survival(sample, _levels(total, LEAF), np.random.default_rng([seed, 1 << 20])))
+        several, leaf = forest_size(level_shares(sample, np.random.default_rng([seed, 1 << 20])), total)
+        depth = _levels(total, max(NODE, leaf))
         trees = [fit(sample, depth, np.random.default_rng([seed, t])) for t in range(several)]
     shared = nodes.sparkSession.sparkContext.broadcast(trees)
 
@@ -266,7 +292,7 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
         key = f"{seed} {table['tree'][0]} {table['place'][0]}".encode()
         rng = np.random.default_rng(int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little"))
         root, found = np.arange(len(x)), []
-        for rows in leaves(x, np.arange(len(x)), rng):
+        for rows in leaves(x, np.arange(len(x)), rng, leaf):
             found += _forest_links(x, rows, root)
         return pa.table({"a": pa.array([ids[i] for i, _ in found], pa.int64()),
                          "b": pa.array([ids[j] for _, j in found], pa.int64())})
@@ -283,4 +309,4 @@ def near_duplicates(embeddings: DataFrame, id_col: str = "vec_id", vector_col: s
     out = units.join(each, units["unit"] == each["same"], "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    return out

@@ -506,3 +506,26 @@ def test_trees_follow_the_depth():
     trees = [vectors.n_trees(s) for s in share]
     assert trees[0] == vectors.TREES and trees[1] <= trees[2] < trees[3]
     assert 1 - (1 - share[3]) ** trees[3] >= vectors.RECALL
+
+
+def test_vectors_of_other_lengths_are_compared_among_themselves(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.1, 0.0]), (5, [0.0, 0.0, 1.0]), (6, [0.0, 1.0]), (7, [])]
+    table = prepare(spark).createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(table).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (1, 3, True), 4: (1, 3, False), 5: (0, 5, True), 6: (0, 6, True), 7: (0, 7, True)}
+
+
+def test_leaves_grow_where_trees_would_be_too_many(monkeypatch):
+    measured = np.array([1.0, 0.8, 0.6, 0.45])
+    trees, leaf = vectors.forest_size(measured, 10**7)
+    assert trees <= vectors.MOST_TREES and leaf > vectors.LEAF
+    share = vectors.held_together(measured, vectors._levels(10**7, leaf))
+    assert 1 - (1 - share) ** trees >= vectors.RECALL
+    assert vectors.forest_size(np.array([1.0, 0.99, 0.98]), 10**4)[1] == vectors.LEAF
+
+
+def test_context_words_change_the_score_and_nothing_else(spark):
+    texts = ["write to a@b.cd", "xx a@b.cd", "DE89 3704 0044 0532 0130 00", "iban: DE89 3704 0044 0532 0130 00", "x_DE89 3704 0044 0532 0130 00 y",
+             "my_iban DE89 3704 0044 0532 0130 00", "server 1.2.3.4 and" + " z" * 30 + " 5.6.7.8"]
+    rows = pii.digest(prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.scores for r in rows} == {0: "1.0", 1: "0.8", 2: "0.8", 3: "1.0", 4: "", 5: "0.8", 6: "0.7,0.5"}
