@@ -249,19 +249,26 @@ def _encoded(path: str):
     def run(batches):
         unpack, last, ids = zstandard.ZstdDecompressor().decompress, None, b""
         for batch in batches:
-            rows = list(zip(*(c.to_pylist() for c in batch.columns)))
-            wanted = {}
-            for key, _, kind, _, payload in rows:
-                if kind == CHUNK and key != last and key not in wanted:
-                    wanted[key] = unpack(payload)
-            made = dict(zip(wanted, map(_packed, encode(path, list(wanted.values())))))
-            if last is not None:
-                made[last] = ids
-            for i, (key, block, kind, doc, payload) in enumerate(rows):
-                if kind == CHUNK:
-                    rows[i] = (key, block, kind, doc, made[key])
-                    last, ids = key, made[key]
-            yield _rows(rows)
+            rows, at = list(zip(*(c.to_pylist() for c in batch.columns))), 0
+            while at < len(rows):
+                wanted, size, end = {}, 0, at
+                while end < len(rows) and size < GROUP_BYTES:
+                    key, _, kind, _, payload = rows[end]
+                    if kind == CHUNK and key != last and key not in wanted:
+                        wanted[key] = unpack(payload)
+                        size += len(wanted[key])
+                    end += 1
+                made = dict(zip(wanted, map(_packed, encode(path, list(wanted.values())))))
+                if last is not None:
+                    made[last] = ids
+                out = []
+                for key, block, kind, doc, payload in rows[at:end]:
+                    if kind == CHUNK:
+                        last, ids = key, made[key]
+                        payload = ids
+                    out.append((key, block, kind, doc, payload))
+                yield _rows(out)
+                at = end
 
     return run
 
@@ -317,24 +324,31 @@ def _repaired(path: str, chunks: list[np.ndarray]) -> list[np.ndarray | bytes]:
 def _assembled(path: str):
     """Rows sorted by block, chunks first: the ids of each document, and their text."""
 
+    def finished(docs: list, parts: list) -> pa.RecordBatch:
+        again = iter(encode(path, [x for p in parts for x in p if isinstance(x, bytes)]))
+        made = []
+        for p in parts:
+            ids = [next(again) if isinstance(x, bytes) else x for x in p]
+            made.append(np.concatenate(ids) if ids else np.empty(0))
+        return _results(path, docs, made)
+
     def run(batches):
         block, known = None, {}
         for batch in batches:
-            docs, parts = [], []
+            docs, parts, size = [], [], 0
             for key, of, kind, doc, payload in zip(*(c.to_pylist() for c in batch.columns)):
                 if of != block:
                     block, known = of, {}
                 if kind == CHUNK:
                     known[key] = _unpacked(payload)
-                else:
-                    docs.append(doc)
-                    parts.append(_repaired(path, [known[payload[i:i + 16]] for i in range(0, len(payload), 16)]))
-            again = iter(encode(path, [x for p in parts for x in p if isinstance(x, bytes)]))
-            made = []
-            for p in parts:
-                ids = [next(again) if isinstance(x, bytes) else x for x in p]
-                made.append(np.concatenate(ids) if ids else np.empty(0))
-            yield _results(path, docs, made)
+                    continue
+                docs.append(doc)
+                parts.append(_repaired(path, [known[payload[i:i + 16]] for i in range(0, len(payload), 16)]))
+                size += sum(map(len, parts[-1]))
+                if size >= GROUP_BYTES:  # ids, each of some bytes of text
+                    yield finished(docs, parts)
+                    docs, parts, size = [], [], 0
+            yield finished(docs, parts)
 
     return run
 
