@@ -37,6 +37,8 @@ QUERY_ROWS = 200_000
 MARGIN = 2e-6
 
 POSTINGS = "shard INT, term STRING, n INT, most_tf INT, least_len INT, ids ARRAY<BIGINT>, tfs ARRAY<INT>, lens ARRAY<INT>"
+DOCS = ("parsed_id BIGINT, doc_len INT, file_name STRING, file_url STRING, file_size BIGINT, last_modified TIMESTAMP_NTZ, "
+        "parse_timestamp TIMESTAMP_NTZ, key STRING, shard INT")
 DEAD = "shard INT, parsed_id BIGINT, doc_len BIGINT"
 STATS = "n_docs BIGINT, sum_len BIGINT, shards INT"
 
@@ -59,7 +61,7 @@ class StoredIndex:
     @property
     def docs(self) -> DataFrame:
         """The visible documents: shard, key, parsed_id, doc_len and attributes."""
-        return _visible(self.table("docs", low=True), self.dead, self.changed).drop("low")
+        return _visible(self.table("docs", None if self.intervals else DOCS, low=True), self.dead, self.changed).drop("low")
 
     @property
     def changed(self) -> bool:

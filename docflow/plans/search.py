@@ -60,6 +60,18 @@ def _(t):
     return s.build_index(t.parsed).postings
 
 
+@query("h1b_store_index", with_tables(f"""WITH {INDEX}
+SELECT (SELECT COUNT(*) FROM docs) AS documents, COUNT(*) AS postings, COUNT(DISTINCT term) AS terms, CAST(SUM(tf) AS BIGINT) AS words FROM postings""",
+       "parsed_invoices"))
+def _(t):
+    STORED.pop((t.spark.sparkContext.applicationId, t.dir), None)
+    stored = index(t)
+    blocks = stored.table("postings", si.POSTINGS)
+    counts = blocks.agg(F.sum("n").cast("bigint").alias("postings"), F.count_distinct("term").alias("terms"),
+                        F.sum(F.aggregate("tfs", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("words"))
+    return a.beside(stored.corpus.select(F.col("n_docs").alias("documents")), counts)
+
+
 @query("h2_search", with_tables(scored(one()) + f" SELECT {HIT} FROM lexical l JOIN docs d ON d.parsed_id = l.parsed_id", "parsed_invoices"))
 def _(t):
     return si.search(index(t), TEXT, K)

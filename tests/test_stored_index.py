@@ -154,6 +154,7 @@ def test_a_document_sent_again_under_its_id(spark, tmp_path):
 def test_empty_index(spark, tmp_path):
     path = str(tmp_path / "i")
     assert si.search_batch(si.open_index(spark, path), spark.createDataFrame([(1, "x")], "query_id BIGINT, query STRING")).collect() == []
+    assert hits(si.open_index(spark, path), "x") == []
     si.add(spark, path, parsed(spark).limit(0), 0)
     index = si.open_index(spark, path)
     assert hits(index, "rare") == [] and index.docs.count() == 0
