@@ -48,10 +48,10 @@ STORED: dict[tuple[str, str], str] = {}  # where the index of a data folder lies
 def index(t) -> si.StoredIndex:
     """The stored index of the parsed documents, which the first search of an application writes."""
     key = (t.spark.sparkContext.applicationId, t.dir)
-    if key not in STORED:
-        path = scratch(t.spark, "search-index")
-        si.add(t.spark, path, conform(t.parsed, PARSED), 0)
-        STORED[key] = path
+    if key in STORED and (there := si.open_index(t.spark, STORED[key])).intervals:
+        return there
+    STORED[key] = scratch(t.spark, "search-index")
+    si.add(t.spark, STORED[key], conform(t.parsed, PARSED), 0)
     return si.open_index(t.spark, STORED[key])
 
 
