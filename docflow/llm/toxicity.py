@@ -90,7 +90,9 @@ def train(texts: list[bytes], y: np.ndarray, weight: np.ndarray, seed: int = 7)
     spread = np.zeros(1 << BITS, np.int32)
     for ids, _ in bags:
         spread[ids] += 1
-    bags = [(ids[k], share[k]) for ids, share in bags for k in [spread[ids] >= MIN_TEXTS]]
+    for i, (ids, share) in enumerate(bags):  # one after the other: both lists at once are some hundred MB
+        known = spread[ids] >= MIN_TEXTS
+        bags[i] = ids[known], share[known]
     table = (rng.random((1 << BITS, DIM), np.float32) * 2 - 1) / DIM
     softmax, bias = rng.normal(0, 1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     seen, seen_s, seen_b = np.full(1 << BITS, 1e-6, np.float32), np.full((DIM, 2), 1e-6), np.full(2, 1e-6)
