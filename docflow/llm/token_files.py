@@ -48,7 +48,8 @@ SEPARATOR = "\x01"  # a piece of its own and one id; words that hold it are enco
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BLANK, ODD = re.compile(f"[{WHITE}]+"), re.compile("[\x1c-\x1f]")
 # A point or comma behind a letter or digit is a piece of its own, so the word before it is the same as without.
-MARK = re.compile(rf"(?<=[^\W_])([.,])(?=[{WHITE}]|\Z)")
+# The mark comes first in the expression, so the search runs from mark to mark.
+MARK = re.compile(rf"([.,])(?<=[^\W_].)(?=[{WHITE}]|\Z)")
 # Marks that join the letter before them, in some cases only a small one.
 JOINING = re.compile("[\u02be\u0300-\u036f]")
 
