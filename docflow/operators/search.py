@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -30,6 +31,8 @@ MARGIN = 2e-6  # scores are compared as they are rounded
 # Scores a task holds at once.
 TILE_SCORES = 4_000_000
 SALTS = 32
+# Words that are counted at once.
+GROUP_WORDS = 500_000
 
 
 @dataclass
@@ -55,20 +58,57 @@ def query_terms(query: str) -> list[str]:
     return sorted(set(kept.split()))
 
 
+def _counted(keep: int):
+    """Rows (kept columns, doc_len, term, tf) of batches with ``keep`` columns and the words of a document each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(keep)
+            sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, at = np.cumsum(sizes), 0
+            while at < len(sizes):
+                stop = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + GROUP_WORDS, "right")))
+                flat = pc.list_flatten(words.slice(at, stop - at)).dictionary_encode()
+                owner = np.repeat(np.arange(stop - at), sizes[at:stop])
+                pairs, tf = np.unique(owner * len(flat.dictionary) + flat.indices.to_numpy(zero_copy_only=False), return_counts=True)
+                row, code = np.divmod(pairs, max(1, len(flat.dictionary)))
+                cols = [batch.column(i).slice(at, stop - at).take(pa.array(row)) for i in range(keep)]
+                yield pa.RecordBatch.from_arrays(
+                    [*cols, pa.array(sizes[at:stop][row], pa.int32()), flat.dictionary.take(pa.array(code)), pa.array(tf, pa.int64())],
+                    [*batch.schema.names[:keep], "doc_len", "term", "tf"])
+                at = stop
+
+    return run
+
+
 def build_index(parsed: DataFrame, extra: Sequence[str] = ()) -> Index:
     """Index of the successfully parsed documents; documents and postings carry the columns ``extra`` along.
 
-    A document's terms are counted where the document lies, before the shuffle, and every
-    posting carries the document length, so scoring needs no join with the documents. The
-    outer explode keeps Catalyst from splitting each text a second time to drop empty ones.
+    A document's terms are counted where the document lies, and every posting carries the document length, so neither
+    counting nor scoring needs a shuffle. Only documents that share an id have their counts added up.
     """
-    ok = parsed.filter(F.col("processing_status") == "SUCCESS").withColumn("_t", tokens(F.col("extracted_text")))
-    docs = ok.select("parsed_id", F.size("_t").alias("doc_len"), *ATTRIBUTES, *extra)
-    postings = (
-        ok.select("parsed_id", F.size("_t").alias("doc_len"), *extra, F.explode_outer("_t").alias("term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy("parsed_id", "doc_len", *extra, "term").agg(F.count("*").alias("tf"))
-    )
+    ok = parsed.filter(F.col("processing_status") == "SUCCESS")
+    docs = ok.select("parsed_id", F.size(tokens(F.col("extracted_text"))).alias("doc_len"), *ATTRIBUTES, *extra)
+
+    def counted(rows: DataFrame) -> DataFrame:
+        words = rows.select("parsed_id", *extra, tokens(F.col("extracted_text")).alias("_t"))
+        kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in words.schema.fields[:-1])
+        made = words.mapInArrow(_counted(len(words.columns) - 1), f"{kept}, doc_len INT, term STRING, tf BIGINT")
+        return made.select("parsed_id", "doc_len", *extra, "term", "tf")
+
+    def added(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("parsed_id", "doc_len", *extra, "term").agg(F.sum("tf").alias("tf"))
+
+    shared = ok.groupBy("parsed_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("parsed_id").alias("_shared"))
+    n = shared.limit(BROADCAST_ROWS + 1).count()
+    if n == 0:
+        postings = counted(ok)
+    elif n > BROADCAST_ROWS:
+        postings = added(counted(ok))
+    else:
+        met = F.col("parsed_id").eqNullSafe(F.col("_shared"))
+        postings = counted(ok.join(F.broadcast(shared), met, "left_anti")).unionByName(
+            added(counted(ok.join(F.broadcast(shared), met, "left_semi"))))
     return Index(postings.select("term", "parsed_id", "tf", "doc_len", *extra), docs)
 
 
@@ -155,23 +195,90 @@ def top_per_query(scored: DataFrame, k: int, item: str = "parsed_id") -> DataFra
 # ---- vectors -------------------------------------------------------------------------
 
 
-def _buckets(df: DataFrame, text_col: str, dims: int, id_col: str) -> DataFrame:
-    bucket = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("bigint") % dims
-    words = df.select(id_col, F.explode(tokens(F.col(text_col))).alias("term"))
-    return words.groupBy(id_col, bucket.cast("int").alias("bucket")).agg(F.count("*").alias("tf"))
+def _bucketed(dims: int):
+    """Rows (id, buckets, counts) of batches of ids and words."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(1)
+            flat = pc.list_flatten(words).dictionary_encode()
+            sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+            of = np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dims for w in flat.dictionary.to_pylist()], np.int64)
+            owner = np.repeat(np.arange(len(batch)), sizes)
+            pairs, counts = np.unique(owner * dims + of[flat.indices.to_numpy(zero_copy_only=False)], return_counts=True)
+            row, bucket = np.divmod(pairs, dims)
+            ends = pa.array(np.searchsorted(row, np.arange(len(batch) + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(ends, pa.array(bucket, pa.int32())),
+                 pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))], ["id", "b", "n"])
+
+    return run
 
-def _model(df: DataFrame, counts: DataFrame, dims: int) -> DataFrame:
-    spread = counts.groupBy("bucket").agg(F.count("*").alias("df"))
-    total = df.agg(F.count("*")).scalar()
-    every = df.sparkSession.range(dims).select(F.col("id").cast("int").alias("bucket"))
+
+def _buckets(df: DataFrame, text_col: str, dims: int, id_col: str) -> DataFrame:
+    """One row per row of ``df``, stored: its id and how often its words fall into which of the ``dims`` buckets.
+
+    Rows that share an id have one row's counts together, ``rows`` says how many they are.
+    """
+    words = df.select(id_col, F.coalesce(tokens(F.col(text_col)), F.array().cast("array<string>")).alias("_t"))
+    kind = df.schema[id_col].dataType.simpleString()
+    counts = written(words.mapInArrow(_bucketed(dims), f"id {kind}, b ARRAY<INT>, n ARRAY<BIGINT>"), "buckets")
+    several = counts.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select(F.col("id").alias("_id"), "rows")
+    k = several.limit(BROADCAST_ROWS + 1).count()
+    one = F.lit(1).cast("bigint").alias("rows")
+    if k == 0:
+        return counts.select("id", "b", "n", one)
+    shared, same = F.broadcast(several) if k <= BROADCAST_ROWS else several, F.col("id").eqNullSafe(F.col("_id"))
+    cells = counts.join(shared, same).select("id", "rows", F.explode_outer(F.arrays_zip("b", "n")).alias("c"))
+    added = cells.groupBy("id", "rows", F.col("c.b").alias("b")).agg(F.sum("c.n").alias("n"))
+    lists = added.groupBy("id", "rows").agg(F.array_sort(F.collect_list(F.when(F.col("b").isNotNull(), F.struct("b", "n")))).alias("c"))
+    return written(counts.join(shared, same, "left_anti").select("id", "b", "n", one).unionByName(
+        lists.select("id", F.col("c.b").alias("b"), F.col("c.n").alias("n"), "rows")), "buckets")
+
+
+def _model(counts: DataFrame, dims: int) -> DataFrame:
+    spread = counts.select(F.explode("b").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("df"))
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
+    every = counts.sparkSession.range(dims).select(F.col("id").cast("int").alias("bucket"))
     return every.join(spread, "bucket", "left").select(
         "bucket", (F.log((total + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf"))
 
 
 def embedding_model(df: DataFrame, text_col: str, dims: int = 256, id_col: str = "parsed_id") -> DataFrame:
     """The weight of each of the ``dims`` buckets in a collection: (bucket, idf), for texts to be embedded like its own."""
-    return _model(df, _buckets(df, text_col, dims, id_col), dims)
+    return _model(_buckets(df, text_col, dims, id_col), dims)
+
+
+def _weighted(dims: int):
+    """Unit vectors of rows (id, buckets, counts, weights of all buckets)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros((len(batch), dims))
+            if len(batch):
+                idf = np.zeros(dims)
+                for one in batch.column("model")[0].as_py():
+                    idf[one["bucket"]] = one["idf"]
+                sizes = pc.list_value_length(batch.column("b")).to_numpy(zero_copy_only=False)
+                owner = np.repeat(np.arange(len(batch)), sizes)
+                bucket, n = (pc.list_flatten(batch.column(c)).to_numpy(zero_copy_only=False) for c in ("b", "n"))
+                out[owner, bucket] = n * idf[bucket]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * dims, pa.int32()), pa.array(_unit(out).ravel()))],
+                ["id", "embedding"])
+
+    return run
+
+
+def _embedded(counts: DataFrame, model: DataFrame, dims: int, id_col: str) -> DataFrame:
+    """A row for each row that was counted; rows without words or without an id have the zero vector."""
+    none = F.col("id").isNull()
+    asked = counts.select("id", *[F.when(none, F.array().cast(t)).otherwise(F.col(c)).alias(c) for c, t in (("b", "array<int>"), ("n", "array<bigint>"))],
+                          F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows"))))
+    weights = model.agg(F.collect_list(F.struct("bucket", "idf")).alias("model"))  # one row of ``dims`` pairs
+    kind = counts.schema["id"].dataType.simpleString()
+    made = asked.drop("col").crossJoin(F.broadcast(weights)).mapInArrow(_weighted(dims), f"id {kind}, embedding ARRAY<DOUBLE>")
+    return made.withColumnRenamed("id", id_col)
 
 
 def embed(
@@ -179,24 +286,19 @@ def embed(
 ) -> DataFrame:
     """Default embedder: ``id_col`` and ``embedding``, TF-IDF over hashed words, unit length.
 
-    A word's bucket is its md5 modulo ``dims``. Counts and document frequencies are two aggregates, bounded by
-    ``dims`` rows per document; a text without words has the zero vector. ``model`` are another collection's weights.
+    A word's bucket is its md5 modulo ``dims``. Words are counted where the text lies and the counts stored, at most
+    ``dims`` per document; a text without words has the zero vector. ``model`` are another collection's weights.
     """
     counts = _buckets(df, text_col, dims, id_col)
-    model = _model(df, counts, dims) if model is None else model
-    weights = counts.join(F.broadcast(model), "bucket").select(id_col, "bucket", (F.col("tf") * F.col("idf")).alias("w"))  # ``dims`` rows
-    rows = weights.groupBy(id_col).agg(
-        F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("_m"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"))
-    buckets = F.sequence(F.lit(0), F.lit(dims - 1))
-    vector = F.transform(buckets, lambda b: F.coalesce(F.try_element_at("_m", b) / F.col("_n"), F.lit(0.0)))
-    return df.select(id_col).join(rows, id_col, "left").select(id_col, vector.alias("embedding"))
+    return _embedded(counts, _model(counts, dims) if model is None else model, dims, id_col)
 
 
 def search_by_meaning(docs: DataFrame, text_col: str, queries: DataFrame, k: int = 10, dims: int = 256) -> DataFrame:
     """``queries(query_id, query)`` to the ``k`` nearest of ``docs`` by the documents' own vectors: (query_id, parsed_id, score, rank)."""
-    model = written(embedding_model(docs, text_col, dims), "embedding-model")
+    counts = _buckets(docs, text_col, dims, "parsed_id")
+    model = written(_model(counts, dims), "embedding-model")
     asked = embed(queries, "query", dims, "query_id", model)
-    return search_dense(embed(docs, text_col, dims, model=model), asked, k, "parsed_id")
+    return search_dense(_embedded(counts, model, dims, "parsed_id"), asked, k, "parsed_id")
 
 
 def _unit(m: np.ndarray) -> np.ndarray:

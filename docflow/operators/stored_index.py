@@ -28,6 +28,7 @@ from docflow.operators.search import (
 from docflow.sources import batches
 
 SHARDS = 16
+SHARD_ROWS = 50_000
 BLOCK = 512
 # Distinct terms of a search that go to the scan as a list; more are joined.
 LISTED_TERMS = 1_000
@@ -98,23 +99,19 @@ def _visible(rows: DataFrame, dead: DataFrame, changed: bool, how: str = "left_a
 
 
 def _packed(rows):
-    """Blocks of sorted ids from lists of postings."""
+    """Blocks of sorted ids from postings that come sorted by term, shard and id."""
     for batch in rows:
-        lists = batch.column("p")
-        flat, sizes = pc.list_flatten(lists), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        ids, tfs, lens = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        order = np.lexsort((ids, owner))
-        begins = np.cumsum(sizes) - sizes
-        new = (np.arange(len(ids)) - np.repeat(begins, sizes)) % BLOCK == 0
-        at = np.flatnonzero(new)
-        if not len(at):
+        if not len(batch):
             continue
-        ids, tfs, lens = ids[order], tfs[order], lens[order]
-        offsets = pa.array(np.append(at, len(ids)), pa.int32())
-        which = pa.array(owner[at])
+        shard, ids, tfs, lens = (batch.column(c).to_numpy() for c in ("shard", "parsed_id", "tf", "doc_len"))
+        code = batch.column("term").dictionary_encode().indices.to_numpy()
+        new = np.concatenate([[True], (code[1:] != code[:-1]) | (shard[1:] != shard[:-1])])
+        begins = np.flatnonzero(new)
+        at = np.flatnonzero((np.arange(len(new)) - begins[np.cumsum(new) - 1]) % BLOCK == 0)
+        ends = np.append(at, len(new))
+        offsets, first = pa.array(ends, pa.int32()), pa.array(at)
         yield pa.RecordBatch.from_arrays([
-            batch.column("shard").take(which), batch.column("term").take(which), pa.array(np.diff(np.append(at, len(ids))), pa.int32()),
+            batch.column("shard").take(first), batch.column("term").take(first), pa.array(np.diff(ends), pa.int32()),
             pa.array(np.maximum.reduceat(tfs, at), pa.int32()), pa.array(np.minimum.reduceat(lens, at), pa.int32()),
             pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.ListArray.from_arrays(offsets, pa.array(tfs, pa.int32())),
             pa.ListArray.from_arrays(offsets, pa.array(lens, pa.int32()))],
@@ -122,10 +119,10 @@ def _packed(rows):
 
 
 def _pack(postings: DataFrame) -> DataFrame:
-    """Blocks from rows (shard, term, parsed_id, tf, doc_len)."""
-    posting = F.struct("parsed_id", F.col("tf").cast("int").alias("tf"), F.col("doc_len").cast("int").alias("doc_len"))
-    lists = postings.groupBy("shard", "term").agg(F.collect_list(posting).alias("p"))
-    return lists.mapInArrow(_packed, POSTINGS)
+    """Blocks from rows (shard, term, parsed_id, tf, doc_len), sorted by term. The postings are shuffled once, and sorted
+    as a stream that any list may exceed; none is collected."""
+    rows = postings.select("shard", "term", "parsed_id", F.col("tf").cast("int").alias("tf"), F.col("doc_len").cast("int").alias("doc_len"))
+    return rows.repartition("shard", "term").sortWithinPartitions("term", "shard", "parsed_id").mapInArrow(_packed, POSTINGS)
 
 
 def _unpack(blocks: DataFrame) -> DataFrame:
@@ -150,14 +147,14 @@ def add(spark: SparkSession, path: str, parsed: DataFrame, batch_id: int, key: s
     """Index a batch of parsed documents. A document takes the place of stored ones with its key; a row with the status
     REMOVED only takes them away; other statuses are passed over. False if the batch was there already.
 
-    ``shards`` is fixed by the first batch: one for some 50 000 documents.
+    ``shards`` is fixed by the first batch: one for each ``SHARD_ROWS`` of its documents, ``SHARDS`` at least.
     """
     index = open_index(spark, path)
     known = [r.shards for r in index.table("stats", STATS).select("shards").distinct().collect()]
     if shards and known and known != [shards]:
         raise ValueError(f"the index has {known[0]} shards")
-    shards = known[0] if known else shards or SHARDS
     rows = parsed.filter(F.col("processing_status").isin("SUCCESS", "REMOVED") & F.col(key).isNotNull())
+    shards = known[0] if known else shards or max(SHARDS, -(-rows.count() // SHARD_ROWS))
     meta = rows.select(key, "parsed_id", "parse_timestamp", "last_modified", "processing_status")
     older = _older_versions(meta, key)
     if not older.isEmpty():
@@ -167,7 +164,7 @@ def add(spark: SparkSession, path: str, parsed: DataFrame, batch_id: int, key: s
 
     def put(folder: str) -> list[str]:
         placed = made.postings.withColumn("shard", _shard(F.col("_key"), shards)).drop("_key")
-        _by_term(_pack(placed)).write.parquet(f"{folder}/postings")
+        _pack(placed).write.parquet(f"{folder}/postings")
         docs = made.docs.withColumn("shard", _shard(F.col("_key"), shards)).withColumnRenamed("_key", "key")
         docs.repartition("shard").sortWithinPartitions("shard", "key").write.parquet(f"{folder}/docs")
         _stats(spark, f"{folder}/docs", shards).write.parquet(f"{folder}/stats")
@@ -205,9 +202,8 @@ def _merge(spark: SparkSession, path: str, first: bool):
         index = StoredIndex(spark, path, tuple(parts))
         shards = index.table("stats", STATS).first()["shards"]
         blocks = index.table("postings", POSTINGS, low=True)
-        if index.changed:
-            blocks = _pack(_visible(_unpack(blocks), index.dead, True))
-        _by_term(blocks.drop("low")).write.parquet(f"{folder}/postings")
+        blocks = _pack(_visible(_unpack(blocks), index.dead, True)) if index.changed else _by_term(blocks.drop("low"))
+        blocks.write.parquet(f"{folder}/postings")
         index.docs.repartition("shard").sortWithinPartitions("shard", "key").write.parquet(f"{folder}/docs")
         _stats(spark, f"{folder}/docs", shards).write.parquet(f"{folder}/stats")
         names = ["postings", "docs", "stats"]
