@@ -92,5 +92,5 @@ def test_run_is_the_stages_and_takes_empty_tables(spark, folder, tmp_path):
 def test_queries_are_registered():
     names = set(entry.queries())
     assert set(queries.QUERIES) <= names and "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.ORACLES) <= set(queries.QUERIES) and set(queries.ORACLES) <= set(entry.oracle_sql())
