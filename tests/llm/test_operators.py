@@ -444,6 +444,34 @@ def test_jaccard_join_of_awkward_rows(docs, none):
     assert jaccard.join(none).count() == 0 and jaccard.keep_one(none).count() == 0
 
 
+def test_near_copies_meet_in_blocks_of_their_own(spark, monkeypatch):
+    rng = random.Random(17)
+    base, rows = [f"b{i}" for i in range(120)], [(1000 + i, sentence(rng, 60)) for i in range(30)]
+    for i in range(300):  # near copies of one text, mostly not similar to each other, each of them in every task
+        words = list(base)
+        for k in range(3):
+            words[rng.randrange(len(words))] = f"n{i}x{k}"
+        rows += [(i, " ".join(words))] + [(2000 + 3 * i + k, " ".join(words)) for k in range(3) if i < 40]
+    seen, tables = jaccard.written, {}
+    monkeypatch.setattr(jaccard, "written", lambda df, name: tables.setdefault(name, []).append(seen(df, name)) or tables[name][-1])
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string").repartition(16, "doc_id")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(docs).collect()} == jaccard_components(rows)
+    asked = [r for t in tables["asks"] for r in t.collect()]
+    assert asked and max(r.a for r in asked) < 2000  # of copies one asks
+    # by the hash of the id, as before, each would send its set to nearly all blocks
+    assert sum(r.block != r.home for r in asked) < 300 * jaccard.BLOCKS // 4
+
+
+def test_a_very_common_smallest_shingle_fills_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 4096)
+    each = prepare(spark).createDataFrame([(i, 64, bytes([i]), 7) for i in range(100)] + [(500 + i, 64, bytes([i]), 7) for i in range(9)],
+                                          "doc_id long, n long, key binary, least long")
+    labels, blocks = jaccard._first_labels(each)
+    held = [r for r in labels.collect() if r.lead == r.doc_id]
+    assert len(held) == 100 and blocks == jaccard.BLOCKS
+    assert max(Counter(r.block for r in held).values()) < 40
+
+
 def test_probe_gives_up_only_when_hopeless():
     rng = np.random.default_rng(2)
     for _ in range(200):
