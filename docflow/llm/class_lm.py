@@ -20,8 +20,10 @@ every score is that of the unknown symbol; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ ROUNDS = 8
 SMOOTH = 20.0  # weight of the class frequencies in a transition row
 BLOCK_BYTES = 4 << 20
 FLUSH = 1 << 20  # numbers a task gathers before it counts them
+PLACES = 1 << 12  # places of words judged at once: a few megabytes, which stay in a core's cache
 END, REST = 0, LEXICON + 1  # numbers of the end and of all words outside the lexicon; lexicon words lie between
 SIZE = LEXICON + 2
 
@@ -72,7 +75,7 @@ def _bigrams(index):
         number, gathered, size = index.value, [], 0
         for batch in batches:
             for text in utf8(batch.column(0)):
-                ids = np.array([END, *(number.get(w, REST) for w in words(text)), END], np.int64)
+                ids = np.array([END, *map(number.get, words(text), repeat(REST)), END], np.int64)
                 gathered.append(ids[:-1] * SIZE + ids[1:])
                 size += len(ids)
                 if size > FLUSH:
@@ -174,13 +177,20 @@ def exchange(contexts: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.
 # --- blocks -------------------------------------------------------------------------------------------------------
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def _numbered(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words, the word numbers of all texts one after the other, and each text's number of words."""
-    index: dict[bytes, int] = {}
-    ids, sizes = [], []
+    index, ids, sizes = _Numbers(), array("q"), []
     for t in texts:
         found = words(t)
-        ids += [index.setdefault(w, len(index)) for w in found]
+        ids.extend(map(index.__getitem__, found))
         sizes.append(len(found))
     return list(index), np.array(ids, np.int64), np.array(sizes, np.int64)
 
@@ -196,7 +206,7 @@ def _proposals(number, classes, counts):
         known, ids, sizes = _numbered(texts)
         in_training = ~np.repeat(held, sizes)
         n = np.bincount(ids[in_training], minlength=len(known))
-        lexicon = np.array([number.value.get(w, REST) for w in known], np.int64) if known else np.empty(0, np.int64)
+        lexicon = np.fromiter(map(number.value.get, known, repeat(REST)), np.int64, len(known))
         of = np.concatenate([classes[lexicon[ids]], [CLASSES]]) if len(ids) else np.full(1, CLASSES)
         ends = np.cumsum(sizes)
         left, right = np.concatenate([[CLASSES], of[:-1]])[:len(ids)], of[1:].copy()
@@ -205,16 +215,16 @@ def _proposals(number, classes, counts):
         vote = classes[lexicon] if known else np.empty(0, np.int64)
         rare = np.flatnonzero(in_training & (lexicon[ids] == REST)) if len(ids) else np.empty(0, np.int64)
         rare = rare[np.argsort(ids[rare], kind="stable")]
-        for at in range(0, len(rare), FLUSH // 8):
+        of_rare, begin = ids[rare], 0
+        while begin < len(rare):
             # pieces end between words, so each word is judged by all its places in the block
-            begin = at if at == 0 else int(np.searchsorted(ids[rare], ids[rare[at - 1]], "right"))
-            stop = min(at + FLUSH // 8, len(rare))
-            stop = int(np.searchsorted(ids[rare], ids[rare[stop - 1]], "right"))
-            part = rare[begin:stop]
-            if len(part):
-                first = np.flatnonzero(np.concatenate([[True], ids[part][1:] != ids[part][:-1]]))
-                fit = np.add.reduceat(after[right[part]] + before[left[part]], first)
-                vote[ids[part][first]] = fit.argmax(1)
+            stop = int(np.searchsorted(of_rare, of_rare[min(begin + PLACES, len(rare)) - 1], "right"))
+            part, own = rare[begin:stop], of_rare[begin:stop]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            fits = after[right[part]]
+            fits += before[left[part]]
+            vote[own[first]] = np.add.reduceat(fits, first).argmax(1)
+            begin = stop
         block = table["block"][0].as_py()
         return pa.table({"block": pa.array(np.full(len(known), block, np.int64)), "word": pa.array(known, pa.binary()),
                          "n": pa.array(n, pa.int64()), "vote": pa.array(vote, pa.int32())})
@@ -245,13 +255,20 @@ def _sequences(sizes: Sizes):
         base = np.where(n > 0, np.log10(n + 0.1) - total, floor)
         emit = np.log10(np.maximum(n, 1)) - np.where(n > 0, np.append(of_class, [0, 0])[c], 0)
         out = ([], [], [], [], [])
+        ids, ends = array("q"), []
         for text in utf8(docs["text"].combine_chunks()) if docs.num_rows else []:
-            ids = np.array([number.get(w, -1) for w in words(text)], np.int64)
-            out[0].append(len(ids) + 1)
-            out[1].append(int((n[ids] > 0).sum()) + (sizes.ends > 0))
-            out[2].append(float(base[ids].sum()) + base_end)
-            out[3].append(float(emit[ids].sum()))
-            out[4].append(c[ids].tobytes() + bytes([CLASSES]))
+            ids.extend(map(number.get, words(text), repeat(-1)))
+            ends.append(len(ids))
+        ids = np.array(ids, np.int64)
+        known = np.concatenate([[0], np.cumsum(n[ids] > 0)])
+        bases, emits, kinds_of, at = base[ids], emit[ids], c[ids], 0
+        for end in ends:
+            out[0].append(end - at + 1)
+            out[1].append(int(known[end] - known[at]) + (sizes.ends > 0))
+            out[2].append(float(bases[at:end].sum()) + base_end)
+            out[3].append(float(emits[at:end].sum()))
+            out[4].append(kinds_of[at:end].tobytes() + bytes([CLASSES]))
+            at = end
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
         return pa.table([docs["doc_id"], docs["held_out"], *(pa.array(x, k) for x, k in zip(out, kinds))],
                         ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "emissions", "classes"])

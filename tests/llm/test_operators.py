@@ -444,6 +444,23 @@ def test_jaccard_join_of_awkward_rows(docs, none):
     assert jaccard.join(none).count() == 0 and jaccard.keep_one(none).count() == 0
 
 
+def test_rare_words_are_judged_by_all_their_places_whatever_the_pieces(monkeypatch):
+    class Number:
+        value = {w.encode(): i + 1 for i, w in enumerate(WORDS[:10])}
+
+    rng = np.random.default_rng(3)
+    classes = rng.integers(0, class_lm.CLASSES, class_lm.SIZE)
+    classes[class_lm.END], classes[class_lm.REST] = class_lm.CLASSES, class_lm.CLASSES + 1
+    run = class_lm._proposals(Number, classes, rng.integers(0, 50, (class_lm.CLASSES + 2,) * 2).astype(float))
+    texts = [sentence(random.Random(i), 30) for i in range(20)] + ["", "only here"]
+    table = pa.table({"text": texts, "held_out": [i % 5 == 0 for i in range(22)], "block": [4] * 22})
+    got = []
+    for places in (1, 7, 1 << 12):
+        monkeypatch.setattr(class_lm, "PLACES", places)
+        got.append(run(table).to_pylist())
+    assert got[0] == got[1] == got[2] and len(got[0]) == len({w for t in texts for w in t.split()})
+
+
 def test_near_copies_meet_in_blocks_of_their_own(spark, monkeypatch):
     rng = random.Random(17)
     base, rows = [f"b{i}" for i in range(120)], [(1000 + i, sentence(rng, 60)) for i in range(30)]
