@@ -1,14 +1,21 @@
-"""Main text of web pages: marked-up articles, and for the others what a host's suffix array leaves.
+"""Main text of web pages: blocks, without the runs that a host's suffix arrays find on its pages.
 
 A page is read as blocks. Elements that are no content by their tag or name (menus, footers, forms, adverts,
-comments, ...) are skipped. If the page marks its article or main part, the blocks in it are the text, whole:
-passages and whole articles that other pages repeat stay.
+comments, ...) are skipped; if the page marks its article or main part, the blocks in it are its text.
 
-For pages without such marks, the token streams of a host's pages are concatenated and their suffixes sorted; a run
-of ``RUN`` tokens or more that ``PAGES`` distinct pages have is boilerplate, and the tokens it covers are removed.
-What is unique stays. A page that is covered whole (a copy of an article) stays whole. Hosts are dealt out in shards
-of pages; each shard's suffix array gives the number of its pages that have a run's window, and the shards' numbers
-are added up, so a run counts the same however its host was split.
+The token streams of a host's pages, of marked ones and of the others by themselves, are concatenated and their suffixes
+sorted; that gives each run of ``RUN`` tokens and the number of distinct pages that have it.
+
+On pages without marks a run that ``PAGES`` pages have is boilerplate, and the tokens it covers are removed. What is
+unique stays. A page that is covered whole (a copy of an article) stays whole.
+
+In a marked article a run is the host's own if one in ``SHARE`` of its marked pages have it, ``SITE_PAGES`` at least: a
+notice that stands on most pages of a site without a telling name. Blocks that such runs cover whole are removed, unless
+that were half of the article or more (copies of an article); all other passages stay, also if other pages repeat them.
+
+Hosts are dealt out in shards of pages; the numbers of the shards are added up, so a run counts the same however its
+host was split. A shard of a split host names the runs of marked pages that one in ``LOCAL`` of its pages have: shards
+are dealt by a hash, and what half of the host's pages have is not that rare on any of them.
 
 Null html counts as empty: no text. Rows are pages of their own, also when ids repeat or are null; a page without a
 readable host belongs to the empty host. Empty tables give empty results.
@@ -26,11 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import written
+from docflow.llm.common import small, written
 
 RUN = 8  # tokens a repeated run has at least
-PAGES = 3  # distinct pages that must have it
+PAGES = 3  # distinct pages without marks that must have it
+SHARE, SITE_PAGES = 2, 6  # of a host's marked pages one in so many must have it, and so many at least
 SHARD = 512  # pages of a host that one suffix array covers, about
+LOCAL = 8  # a shard of a split host names the runs that one in so many of its marked pages have
+SITE_ROWS = 200_000  # runs of all hosts that are broadcast
+FOUND = "host string, marked boolean, window binary, pages long, key long, page_id long, url string, blocks array<string>"
+STREAM = "host string, marked boolean, shard int, shards int, key long, page_id long, url string, blocks array<string>"
 
 # A comment, a tag, or a declaration; a "<" before anything else is text.
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(?:[!?]|/(?![a-zA-Z]))[^>]*>""", re.S)
@@ -237,28 +249,42 @@ def windows(tokens: list[str]) -> list[bytes]:
     return [hashlib.blake2b("\x1f".join(tokens[i:i + RUN]).encode(), digest_size=12).digest() for i in range(len(tokens) - RUN + 1)]
 
 
+def _least(marked: bool, pages: int, shards: int) -> int:
+    """The number of pages of a shard that must have a run for the shard to name it."""
+    if not marked:
+        return PAGES if shards == 1 else 1
+    return max(SITE_PAGES, -(-pages // SHARE)) if shards == 1 else -(-pages // LOCAL)
+
+
 def _shard(table: pa.Table) -> pa.Table:
-    """A shard's suffix array: windows and the number of pages that have them, one place for each group of suffixes."""
+    """A shard's suffix array: windows and the number of pages that have them, one place for each group of suffixes.
+
+    The empty window stands for the pages of the shard. Pages without marks follow, to be read again.
+    """
+    host, marked, shards = (table[c][0].as_py() for c in ("host", "marked", "shards"))
     pages = [" ".join(b).split() for b in table["blocks"].to_pylist()]
+    sizes = np.array([len(p) for p in pages])
     number: dict[str, int] = {}
     # every page ends with a token of its own, which no run can cross
     stream = [number.setdefault(t, len(number)) for p in pages for t in p + [None]]
-    owner = np.repeat(np.arange(len(pages)), [len(p) + 1 for p in pages])
-    place = np.concatenate([np.arange(len(p) + 1) for p in pages])
+    owner = np.repeat(np.arange(len(pages)), sizes + 1)
+    place = np.concatenate([np.arange(n + 1) for n in sizes])
     tokens = np.array(stream, np.int64)
-    ends = place == np.array([len(p) for p in pages])[owner]
+    ends = place == sizes[owner]
     tokens[ends] = len(number) + np.arange(ends.sum())
     group = suffix_groups(tokens, RUN)
-    inside = place + RUN <= np.array([len(p) for p in pages])[owner]
-    pairs = np.unique(np.stack([group[inside], owner[inside]]), axis=1)
-    groups, pages_of = np.unique(pairs[0], return_counts=True)
+    inside = np.flatnonzero(place + RUN <= sizes[owner])
+    pairs = np.unique(group[inside] * len(pages) + owner[inside])
+    groups, pages_of = np.unique(pairs // len(pages), return_counts=True)
+    named = pages_of >= _least(marked, len(pages), shards)
     first = np.zeros(int(group.max(initial=0)) + 1, np.int64)
-    first[group[inside][::-1]] = np.flatnonzero(inside)[::-1]
-    digests = [hashlib.blake2b("\x1f".join(pages[owner[i]][place[i]:place[i] + RUN]).encode(), digest_size=12).digest()
-               for i in first[groups].tolist()]
-    host = table["host"][0].as_py()
-    return pa.table({"host": pa.array([host] * len(digests), pa.string()), "window": pa.array(digests, pa.binary()),
-                     "pages": pa.array(pages_of, pa.int64())})
+    first[group[inside][::-1]] = inside[::-1]
+    found = [b""] + [windows(pages[owner[i]][place[i]:place[i] + RUN])[0] for i in first[groups[named]].tolist()]
+    counts = pa.table({"host": pa.array([host] * len(found), pa.string()), "marked": pa.array([marked] * len(found), pa.bool_()),
+                       "window": pa.array(found, pa.binary()), "pages": pa.array([len(pages), *pages_of[named].tolist()], pa.int64())})
+    rest = table.select(["host", "marked", "key", "page_id", "url", "blocks"])
+    names = [f.split()[0] for f in FOUND.split(", ")]
+    return pa.concat_tables([counts, rest.slice(0, 0) if marked else rest], promote_options="default").select(names)
 
 
 def _unique_runs(texts: list[str], covered: set[int]) -> list[str]:
@@ -274,22 +300,51 @@ def _unique_runs(texts: list[str], covered: set[int]) -> list[str]:
     return out or texts
 
 
-def _parsed(keep_marked: bool):
-    """(page_id, url, blocks) of pages that mark their content, or of the others."""
+def _without_site(texts: list[str], site: frozenset[bytes]) -> list[str]:
+    """The blocks but those that runs of the host cover whole; all of them if those were half of the text or more."""
+    tokens = " ".join(texts).split()
+    hidden = {i + k for i, w in enumerate(windows(tokens)) if w in site for k in range(RUN)}
+    out, at, gone = [], 0, 0
+    for block in texts:
+        n = len(block.split())
+        if n and all(i in hidden for i in range(at, at + n)):
+            gone += n
+        else:
+            out.append(block)
+        at += n
+    return out if 2 * gone < len(tokens) else texts
 
-    def run(batches):
-        for batch in batches:
-            out = ([], [], [])
-            for page, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-                scope, texts = blocks(html or "")
-                if (scope != BODY or not texts) == keep_marked:
-                    out[0].append(page)
-                    out[1].append(url)
-                    out[2].append(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()),
-                                              pa.array(out[2], pa.list_(pa.string()))], ["page_id", "url", "blocks"])
 
-    return run
+def _streams(batches):
+    """Each page with text, for its shard; what a marked page is called is not needed there."""
+    for batch in batches:
+        out = []
+        for page, url, html, host, shard, shards, key in zip(*(c.to_pylist() for c in batch.columns)):
+            scope, texts = blocks(html or "")
+            if texts:
+                marked = scope != BODY
+                out.append((host, marked, shard, shards, *((None, None, None) if marked else (key, page, url)), texts))
+        kinds = (pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * len(kinds), kinds)],
+                                         ["host", "marked", "shard", "shards", "key", "page_id", "url", "blocks"])
+
+
+def _marked(batches):
+    """(page_id, url, blocks) of pages that mark their content, without what is their host's, and of pages without text."""
+    for batch in batches:
+        out, sites = ([], [], []), {}
+        columns = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "host")))
+        for i, (page, url, html, host) in enumerate(columns):
+            scope, texts = blocks(html or "")
+            if scope == BODY and texts:
+                continue
+            if host not in sites:
+                sites[host] = frozenset(batch.column("site")[i].as_py() or ())
+            out[0].append(page)
+            out[1].append(url)
+            out[2].append(_without_site(texts, sites[host]) if sites[host] else texts)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()),
+                                          pa.array(out[2], pa.list_(pa.string()))], ["page_id", "url", "blocks"])
 
 
 def _rows(batches):
@@ -314,20 +369,33 @@ def _left_over(batches):
                                          ["page_id", "url", "blocks"])
 
 
+def _sites(counts: DataFrame) -> DataFrame:
+    """(host, site): the runs that most of the host's marked pages have; few for each host, as a page holds few of them."""
+    marked = counts.where("marked")
+    of_host = marked.where("window = X''").select("host", F.col("pages").alias("all_pages"))
+    runs = marked.where("window <> X''").join(of_host, "host").where(
+        (F.col("pages") >= SITE_PAGES) & (F.col("pages") * SHARE >= F.col("all_pages"))).select("host", "window")
+    sites = runs.groupBy("host").agg(F.collect_list("window").alias("site"))
+    return F.broadcast(sites) if runs.limit(SITE_ROWS + 1).count() <= SITE_ROWS else sites
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars per page."""
+    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                        F.col("html").cast("string").alias("html"))
+                        F.col("html").cast("string").alias("html")).withColumn("host", host)
+    split = rows.groupBy("host").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards")).where("shards > 1")
+    dealt = rows.withColumn("key", F.monotonically_increasing_id()).join(small(split), "host", "left").withColumn(
+        "shards", F.coalesce("shards", F.lit(1)))
+    streams = dealt.select(
+        "page_id", "url", "html", "host", F.pmod(F.xxhash64("key"), "shards").cast("int").alias("shard"), "shards", "key").mapInArrow(_streams, STREAM)
+    found = written(streams.groupBy("host", "marked", "shard").applyInArrow(_shard, FOUND), "page-runs")
+    counts = found.where("window IS NOT NULL").groupBy("host", "marked", "window").agg(F.sum("pages").alias("pages"))
+
     schema = "page_id long, url string, blocks array<string>"
-    marked = rows.mapInArrow(_parsed(True), schema)
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    plain = written(rows.mapInArrow(_parsed(False), schema).select(
-        F.monotonically_increasing_id().alias("key"), "page_id", "url", "blocks", host.alias("host")), "plain-pages")
-    sizes = plain.groupBy("host").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
-    dealt = plain.join(sizes, "host").withColumn("shard", F.pmod(F.xxhash64("key"), "shards"))
-    counted = dealt.select("host", "shard", "blocks").groupBy("host", "shard").applyInArrow(
-        _shard, "host string, window binary, pages long")
-    repeated = counted.groupBy("host", "window").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= PAGES)
+    marked = rows.join(_sites(counts), "host", "left").select("page_id", "url", "html", "host", "site").mapInArrow(_marked, schema)
+    plain = found.where("key IS NOT NULL").select("key", "page_id", "url", "blocks", "host")
+    repeated = counts.where(~F.col("marked") & (F.col("window") != F.lit(b"")) & (F.col("pages") >= PAGES)).select("host", "window")
     places = plain.select("key", "host", "blocks").mapInArrow(_rows, "key long, host string, window binary, place int")
     covered = places.join(repeated, ["host", "window"]).groupBy("key").agg(F.collect_list("place").alias("places"))
     rest = plain.join(covered, "key", "left").select("page_id", "url", "blocks", "places").mapInArrow(_left_over, schema)

@@ -290,6 +290,25 @@ def test_pages_without_marks_lose_what_their_host_repeats(spark, monkeypatch):
     assert (got[400].text, got[None].text, got[401].text) == ("", "", menu)
 
 
+@pytest.mark.parametrize("shard", [8, 512])
+def test_marked_articles_lose_what_most_pages_of_their_host_have(spark, monkeypatch, shard):
+    monkeypatch.setattr(pages, "SHARD", shard)  # with 8 the host is split
+    notice, line = "You read this story free of charge because our members pay for it", "a line that some stories of this site have in common"
+    own = {i: " ".join(f"w{i}a{k}" for k in range(60)) for i in range(60)}
+    copy = " ".join(f"c{k}" for k in range(40))
+    html = {i: f"<article><p>{text}</p>" + f"<p>{line}</p>" * (i % 3 == 0) + f"<div>{notice}</div>" * (i % 5 > 0) + "</article>" for i, text in own.items()}
+    rows = [(i, "https://site.example/x", h) for i, h in html.items()]
+    rows += [(100 + i, "https://copy.example", f"<article><p>{copy}</p><p>{notice} {i}</p></article>") for i in range(8)]
+    rows += [(200 + i, "https://small.example", f"<article><p>{own[i]}</p><p>{notice}</p></article>") for i in range(5)]
+    rows += [(300, "https://site.example", f"<div>{notice}</div>"), (400, "https://site.example", None), (None, None, None)]
+    got = {r.page_id: r.text for r in pages.main_text(prepare(spark).createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == own[i] + f"\n\n{line}" * (i % 3 == 0) for i in own)
+    assert all(got[100 + i] == f"{copy}\n\n{notice} {i}" for i in range(8))
+    assert all(got[200 + i] == f"{own[i]}\n\n{notice}" for i in range(5))
+    assert (got[300], got[400], got[None]) == (notice, "", "")
+
+
 def test_suffix_groups_are_common_prefixes():
     tokens = np.random.default_rng(1).integers(0, 3, 300)
     tokens[-8:] = np.arange(100, 108)
