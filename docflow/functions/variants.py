@@ -24,6 +24,12 @@ def texts_at(v: Column, path: str) -> Column:
     return F.try_variant_get(v, f"$.{path}", "array<string>")
 
 
+def fields_at(v: Column, path: str, kinds: dict[str, str]) -> Column:
+    """Struct of the named fields of the object at ``path``, read in one pass over it; a field that is missing or of
+    another kind is NULL, as is the struct where there is no object."""
+    return F.try_variant_get(v, path, f"struct<{','.join(f'{name}:{kind}' for name, kind in kinds.items())}>")
+
+
 def line_item_count(v: Column) -> Column:
     """Size of a record array, else of the longest array inside the line object; NULL without lines."""
     records = F.try_variant_get(v, "$.line_items", "array<variant>")

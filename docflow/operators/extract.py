@@ -105,9 +105,12 @@ def read_text(df: DataFrame, text_col: str, lines: bool = True) -> DataFrame:
     text = F.col(text_col)
     rows = F.regexp_extract_all(text, F.lit(LINE_ROW), F.lit(1))
     cells = [F.transform(rows, lambda row: F.split(row, r"\|")).alias("_cells")] if lines else []
-    return once(df, df.columns, F.struct(
-        F.regexp_extract_all(F.lower(text), F.lit(LABELLED), F.lit(1)).alias("_labels"),
-        F.regexp_extract_all(text, F.lit(LABELLED), F.lit(2)).alias("_values"), *cells,
+    found = once(df, df.columns, F.struct(F.regexp_extract_all(text, F.lit(LABELLED), F.lit(0)).alias("_labelled"), *cells))
+    blanks = F.lit(" \t")
+    # A label has no colon, so the first one ends it.
+    return once(found, [c for c in found.columns if c != "_labelled"], F.struct(
+        F.transform("_labelled", lambda line: F.lower(F.btrim(F.substring_index(line, ":", 1), blanks))).alias("_labels"),
+        F.transform("_labelled", lambda line: F.btrim(F.substr(line, F.position(F.lit(":"), line) + 1), blanks)).alias("_values"),
     ))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docflow.functions.casts import clean_money, safe_date, safe_decimal
-from docflow.functions.variants import line_item_count, text_at, texts_at, unwrap
+from docflow.functions.variants import fields_at, line_item_count, text_at, texts_at, unwrap
 from docflow.operators.extract import once
 from docflow.schemas import INVOICE, INVOICE_DETAIL
 from docflow.sources.tables import conform
@@ -92,19 +92,23 @@ def parse_header(raw: DataFrame, where: Column | None = None) -> DataFrame:
 
     ``invoice_id`` is the extraction id, so lines link to it without reading it back.
     """
-    v = F.col("_v")
+    money = {name: [f"financial.{name}", name] for name in [*HEADER_MONEY, "currency"]}
+    paths = [p for of in [*HEADER_TEXT.values(), *money.values()] for p in of] + HEADER_DATES
+    nested = {p.split(".")[0] for p in paths if "." in p}
+
+    def pick(*names: str) -> Column:
+        """As ``text_at``, from the fields that were read in one pass over the document."""
+        return F.coalesce(*[F.try_variant_get(f"_h.{first}", f"${dot}{rest}", "string") if first in nested else F.col(f"_h.{first}")
+                            for first, dot, rest in (name.partition(".") for name in names)])
+
     cols = [F.col("extraction_id").alias("invoice_id"), "extraction_id"]
-    cols += [text_at(v, *paths).alias(name) for name, paths in HEADER_TEXT.items()]
-    cols += [safe_date(text_at(v, name)).alias(name) for name in HEADER_DATES]
-    cols += [
-        safe_decimal(text_at(v, f"financial.{name}", name), precision, 2).alias(name)
-        for name, precision in HEADER_MONEY.items()
-    ]
-    cols += [
-        F.coalesce(text_at(v, "financial.currency", "currency"), F.lit("USD")).alias("currency"),
-        F.col("extraction_timestamp").alias("created_timestamp"),
-    ]
-    header = conform(documents(successful(raw)).select(*cols), INVOICE)
+    cols += [pick(*of).alias(name) for name, of in HEADER_TEXT.items()]
+    cols += [safe_date(pick(name)).alias(name) for name in HEADER_DATES]
+    cols += [safe_decimal(pick(*money[name]), precision, 2).alias(name) for name, precision in HEADER_MONEY.items()]
+    cols += [F.coalesce(pick(*money["currency"]), F.lit("USD")).alias("currency"), F.col("extraction_timestamp").alias("created_timestamp")]
+    kinds = {p.split(".")[0]: "variant" if p.split(".")[0] in nested else "string" for p in paths}
+    read = once(documents(successful(raw)), ["extraction_id", "extraction_timestamp"], F.struct(fields_at(F.col("_v"), "$", kinds).alias("_h")))
+    header = conform(read.select(*cols), INVOICE)
     return header if where is None else header.filter(where)
 
 
@@ -113,20 +117,24 @@ def rejected_headers(raw: DataFrame, where: Column) -> DataFrame:
     return parse_header(raw).filter(~F.coalesce(where, F.lit(False)))
 
 
-def _lines(v: Column, pad: str) -> Column:
-    """Array of line structs of text, whatever shape the document used."""
-    keys = sorted({k for names in LINE_FIELDS.values() for k in names})
-    record = ",".join(f"{k}:string" for k in keys)
-    records = F.try_variant_get(v, "$.line_items", f"array<struct<{record}>>")
-    zipped = F.arrays_zip(*[
-        F.coalesce(texts_at(v, f"line_items.{k}"), F.array().cast("array<string>")).alias(k) for k in keys
-    ])
+LINE_KEYS = sorted({k for names in LINE_FIELDS.values() for k in names})
+LINE_RECORDS = f"array<struct<{','.join(f'{k}:string' for k in LINE_KEYS)}>>"
+
+
+def _line_shapes(v: Column) -> Column:
+    """Struct of the lines as records and as columns, each read in one pass; NULL if the document has the other shape."""
+    return F.struct(F.try_variant_get(v, "$.line_items", LINE_RECORDS).alias("_records"),
+                    fields_at(v, "$.line_items", dict.fromkeys(LINE_KEYS, "array<string>")).alias("_columns"))
+
+
+def _lines(pad: str) -> Column:
+    """Array of line structs of text, whatever shape the document used, from ``_line_shapes``."""
+    zipped = F.arrays_zip(*[F.coalesce(F.col(f"_columns.{k}"), F.array().cast("array<string>")).alias(k) for k in LINE_KEYS])
     if pad == "driver":
-        numbers = texts_at(v, "line_items.line_number")
-        zipped = F.slice(zipped, F.lit(1), F.coalesce(F.size(numbers), F.lit(0)))
+        zipped = F.slice(zipped, F.lit(1), F.coalesce(F.size("_columns.line_number"), F.lit(0)))
     elif pad != "longest":
         raise ValueError("pad is 'driver' or 'longest'")
-    return F.coalesce(records, zipped.cast(f"array<struct<{record}>>"))
+    return F.coalesce("_records", zipped.cast(LINE_RECORDS))
 
 
 def parse_lines(raw: DataFrame, pad: str = "driver") -> DataFrame:
@@ -136,10 +144,9 @@ def parse_lines(raw: DataFrame, pad: str = "driver") -> DataFrame:
     position of the longest array. Shorter arrays give NULL. Record arrays give all records.
     Lines of a further part belong to the first part's document.
     """
-    lines = with_content(successful(raw)).select(
-        F.col("_parent").alias("extraction_id"), "extraction_timestamp", "_offset",
-        F.posexplode(_lines(F.col("_v"), pad)).alias("_pos", "_r"),
-    )
+    read = once(with_content(successful(raw)), ["_parent", "extraction_timestamp", "_offset"], _line_shapes(F.col("_v")))
+    lines = read.select(
+        F.col("_parent").alias("extraction_id"), "extraction_timestamp", "_offset", F.posexplode(_lines(pad)).alias("_pos", "_r"))
     text = {name: F.coalesce(*[F.col(f"_r.{k}") for k in keys]) for name, keys in LINE_FIELDS.items()}
     return conform(
         lines.select(

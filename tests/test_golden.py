@@ -55,6 +55,36 @@ def test_vendor_in_every_shape(spark, doc):
     assert n.parse_header(raw(spark, doc)).first().vendor_name == "A"
 
 
+@pytest.mark.parametrize("doc, want", [
+    ('{"vendor":{"name":null},"vendor_name":"B","financial":{"subtotal":"1.5","currency":null},"subtotal":2,"currency":"EUR"}', ("B", "1.50", "EUR")),
+    ('{"vendor":{"city":"X"},"financial":7,"subtotal":"2"}', ('{"city":"X"}', "2.00", "USD")),
+    ('{"vendor":null,"vendor_name":{"a":1},"financial":[1],"currency":["x"]}', ('{"a":1}', None, '["x"]')),
+    ("[1]", (None, None, "USD")), ("7", (None, None, "USD")),
+])
+def test_header_fields_in_odd_shapes(spark, doc, want):
+    r = n.parse_header(raw(spark, doc)).first()
+    assert (r.vendor_name, r.subtotal and str(r.subtotal), r.currency) == want
+
+
+def test_labels_are_found_in_one_pass(spark):
+    from docflow.operators.extract import read_text
+
+    text = "INVOICE\n \tVendor Name \t:\t A: b \t\n# 1 | x: y\nTOTAL:\r\nn|o: 1\n: none\nDate:2024\u2028Due : x\ny"
+    got = read_text(spark.createDataFrame([(text,), (None,), ("",)], "text string"), "text", lines=False)
+    assert [(r._labels, r._values) for r in got.collect()] == [
+        (["vendor name", "total", "date", "due"], ["A: b", "", "2024", "x"]), (None, None), ([], [])]
+    assert got._jdf.queryExecution().executedPlan().toString().count("regexp_extract_all") == 1
+
+
+def test_lines_in_odd_shapes(spark):
+    docs = raw(spark, '{"line_items":{"line_number":["1",null,3],"quantity":"4","unit_price":[{"a":1}]}}', '{"line_items":[{"line_number":1,"quantity":[2]},7,null]}',
+               '{"line_items":"none"}', '{"line_items":null}', "[]")
+    got = sorted(((r.invoice_id, r.line_number, r.quantity, r.unit_price) for r in n.parse_lines(docs).collect()), key=str)
+    one, two = sorted({g[0] for g in got})
+    assert sorted([g[1:] for g in got if g[0] == one], key=str) == sorted([(1, None, None), (3, None, None), (None, None, None)], key=str)
+    assert sorted([g[1:] for g in got if g[0] == two], key=str) == sorted([(1, None, None), (None, None, None), (None, None, None)], key=str)
+
+
 def test_line_item_count(spark):
     docs = raw(spark, '{"line_items":[{},{}]}', '{"line_items":{"a":[1,2,3],"b":[1]}}', "{}", '{"line_items":{}}')
     got = docs.select(line_item_count(F.col("extracted_json")).alias("n")).collect()
