@@ -44,6 +44,24 @@ def test_batches_equal_one_batch(spark, tables, tmp_path):
     assert jobs.read_tables(spark, f"{base}/tables")[0].count() == inv.count() + 5
 
 
+def test_a_landed_file_can_be_read_in_parts(spark, tables, tmp_path, monkeypatch):
+    """Few files a batch leave no core idle: their row groups are small, and documents are stored as they are read."""
+    import pyarrow.parquet as pq
+
+    from docflow.operators.extract import FULL
+
+    monkeypatch.setattr(jobs, "ROW_GROUP", 1 << 14)
+    files, landing = str(tmp_path / "files"), str(tmp_path / "raw")
+    tables.texts.select("text").coalesce(1).write.option("lineSep", "\n=====\n").text(files)
+    jobs.run_once([lambda: jobs.start_extract_stream(
+        spark, files, landing, str(tmp_path / "c"), FULL, pattern="*.txt", as_of="2024-01-10 12:00:00", separator="\n=====\n")])
+    found = [pq.ParquetFile(f) for f in (tmp_path / "raw").glob("*.parquet")]
+    assert sum(f.metadata.num_rows for f in found) == tables.texts.count()
+    assert sum(f.num_row_groups for f in found) > 2 * len(found)
+    columns = {f.schema.column(i).path for f in found for i in range(len(f.schema))}
+    assert {c for c in columns if c.startswith("extracted_json")} == {"extracted_json.metadata", "extracted_json.value"}
+
+
 def test_a_repeated_batch_replaces_itself(spark, tables, tmp_path):
     from docflow.sources.tables import write_batch
 
