@@ -15,31 +15,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import bpe, decontam, jaccard, pii, toxicity
-from docflow.llm.common import prepare, table
+from docflow.llm.common import lean, table
 from docflow.session import shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxicity (6): rejected documents go. The model learns from the labelled documents that reach the stage."""
-    prepare(spark)
+    lean(spark)
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join (8): of each group of linked rows one with the smallest id stays."""
-    prepare(spark)
+    lean(spark)
     return jaccard.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination (3): rows that hold a window of a test item go."""
-    prepare(spark)
+    lean(spark)
     return decontam.drop_contaminated_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """PII (7): spans become their kind in brackets; ``n_chars`` follows the text."""
-    prepare(spark)
+    lean(spark)
     out = pii.redact(docs)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
@@ -49,7 +49,7 @@ def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE (2): doc_id, n_tokens and digests of ids and decoded text."""
-    prepare(spark)
+    lean(spark)
     return bpe.digest(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

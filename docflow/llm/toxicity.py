@@ -31,7 +31,7 @@ SCALE = np.float32(10)  # of the mean, so that a few n-grams in a long text move
 SMOOTH = 100  # added to the number of n-grams in a mean: a few n-grams alone decide little
 EPOCHS = 12
 RATE = 0.5
-PIECE = 4 << 20  # bytes hashed at once
+PIECE = 1 << 20  # bytes hashed at once; some 40 bytes of memory for each
 
 # ASCII letters in lower case and all bytes of other scripts are word bytes; the rest are borders (0).
 LETTER = np.zeros(256, np.uint8)

@@ -94,3 +94,21 @@ def test_queries_are_registered():
     assert set(queries.QUERIES) <= names and "pipeline" in names
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.ORACLES) <= set(queries.QUERIES) and set(queries.ORACLES) <= set(entry.oracle_sql())
+
+
+def test_workers_give_memory_back(spark):
+    """Python workers outlive a stage: what they keep of it is missing in the next one."""
+    import pyarrow as pa
+
+    from docflow.llm import toxicity
+
+    corpus_pipeline.mask_personal(spark, spark.createDataFrame([(1, "x", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long"), "")
+
+    def seen(batches):
+        import os
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"name": [k for k in ("MALLOC_TRIM_THRESHOLD_", "MALLOC_MMAP_THRESHOLD_") if k in os.environ]})
+
+    assert spark.range(1).mapInArrow(seen, "name string").count() == 2
+    assert toxicity.PIECE <= 1 << 20
