@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import documents, id_bucket, utf8, words
+from docflow.llm.common import documents, give_back, id_bucket, utf8, words
 from docflow.llm.hashing import joined
 from docflow.llm.labels import labelled_sample
 
@@ -93,7 +93,10 @@ def train(texts: list[bytes], y: np.ndarray, weight: np.ndarray, seed: int = 7)
     for i, (ids, share) in enumerate(bags):  # one after the other: both lists at once are some hundred MB
         known = spread[ids] >= MIN_TEXTS
         bags[i] = ids[known], share[known]
-    table = (rng.random((1 << BITS, DIM), np.float32) * 2 - 1) / DIM
+    table = rng.random((1 << BITS, DIM), np.float32)
+    table *= 2
+    table -= 1
+    table /= DIM
     softmax, bias = rng.normal(0, 1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     seen, seen_s, seen_b = np.full(1 << BITS, 1e-6, np.float32), np.full((DIM, 2), 1e-6), np.full(2, 1e-6)
     for epoch in range(EPOCHS):
@@ -139,6 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     share = np.sqrt(prior) / (np.sqrt(prior) + np.sqrt(1 - prior))
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())).astype(np.float32)
     table, bias = train([t for t, _ in sample], y, weight)
+    del sample
+    give_back()
     return Model(table, bias, prior, True)
 
 

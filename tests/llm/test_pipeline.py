@@ -112,3 +112,26 @@ def test_workers_give_memory_back(spark):
 
     assert spark.range(1).mapInArrow(seen, "name string").count() == 2
     assert toxicity.PIECE <= 1 << 20
+
+
+def test_the_driver_gives_memory_back_after_training(spark, folder, monkeypatch):
+    """What training frees lies between small objects that stay; the stages after it need the driver's memory."""
+    import os
+    from pathlib import Path
+
+    def resident():
+        return (int(Path("/proc/self/statm").read_text().split()[1]) * os.sysconf("SC_PAGE_SIZE")) >> 20
+
+    stays, seen = [], []
+
+    def train(texts, y, weight):
+        bags = [np.ones(1000) for _ in range(30_000)]
+        stays.append(np.ones(1000))
+        seen.append(resident())
+        bags.clear()
+        return np.zeros(1 << toxicity.BITS, np.float32), 0.0
+
+    monkeypatch.setattr(toxicity, "train", train)
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    assert toxicity.fit(docs, labels).trained
+    assert resident() < seen[0] - 150
