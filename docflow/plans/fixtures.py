@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from docflow.functions.variants import error_object
 from docflow.operators.extract import once
-from docflow.session import tune
+from docflow.session import store, tune
 
 AS_OF_DATE = "2001-01-01"
 AS_OF = "2024-01-10 12:00:00"
@@ -21,6 +21,7 @@ AS_OF = "2024-01-10 12:00:00"
 LINES_PER_DOCUMENT = 2000
 ID_RANGE = 1 << 60  # line ids are 60 bits of a hash
 BROADCAST_ROWS = 200_000
+SLICE_BYTES = 1 << 30  # stored lines whose documents are made, and shuffled, at a time
 
 # The failed extractions leave the invoices by NOT EXISTS: DuckDB 2.0.0 stops with an internal
 # error when the status column is filtered above the joins.
@@ -181,6 +182,13 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def slices(self) -> list[Tables]:
+        """The tables cut by order, a slice for each ``SLICE_BYTES`` of lines: what is made per order is the union over the
+        slices, and the shuffle files of only one of them need room at a time."""
+        fs, make = store(self.spark, self.dir)
+        n = -(-fs.getContentSummary(make(f"{self.dir}/lineitem.parquet")).getLength() // SLICE_BYTES)
+        return [Slice(self.spark, self.dir, i, n) for i in range(n)] if n > 1 else [self]
+
     @cached_property
     def orders(self) -> DataFrame:
         key = F.col("o_orderkey")
@@ -191,27 +199,36 @@ class Tables:
         )
 
     @cached_property
-    def invoice_detail(self) -> DataFrame:
-        def text(name: str) -> Column:
-            return F.col(name).cast("string")
-
-        kind = F.col("l_partkey") % 3
-        amount = F.col("l_extendedprice").cast("decimal(18,2)")
-        lines = self.table("lineitem").join(
-            self.table("part").select("p_partkey", "p_name", "p_retailprice", "p_type"),
-            F.col("l_partkey") == F.col("p_partkey"),
-        )
-        return lines.select(
+    def _lines_with_part(self) -> DataFrame:
+        """What ``_line`` makes a line from; the key of the line is made before the join, so its columns do not travel."""
+        lines = self.table("lineitem").select(
             line_id().alias("invoice_detail_id"),
             F.col("l_orderkey").alias("invoice_id"), F.col("l_linenumber").cast("bigint").alias("line_number"),
-            F.col("p_name").alias("item_description"), F.concat(F.lit("SKU-"), text("l_partkey")).alias("item_code"),
-            F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
-            F.when(kind == 0, "BOX").when(kind == 1, "EA").otherwise("HR").alias("unit_of_measure"),
-            F.col("p_retailprice").cast("decimal(18,4)").alias("unit_price"),
-            amount.alias("line_amount"),
-            (amount * F.col("l_tax").cast("decimal(5,2)")).cast("decimal(18,2)").alias("tax_amount"),
-            F.col("p_type").alias("category"),
+            F.col("l_partkey").alias("part_key"), F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
+            F.col("l_extendedprice").cast("decimal(18,2)").alias("line_amount"), F.col("l_tax").cast("decimal(5,2)").alias("tax_rate"),
         )
+        parts = self.table("part").select(
+            "p_partkey", F.col("p_name").alias("item_description"), F.col("p_retailprice").cast("decimal(18,4)").alias("unit_price"),
+            F.col("p_type").alias("category"))
+        return lines.join(parts, F.col("part_key") == F.col("p_partkey"))
+
+    def _line(self, of) -> dict[str, Column]:
+        """The columns of a line from those of ``_lines_with_part``, which ``of`` gives by name."""
+        kind = of("part_key") % 3
+        return {
+            "line_number": of("line_number"), "invoice_detail_id": of("invoice_detail_id"),
+            "item_description": of("item_description"), "item_code": F.concat(F.lit("SKU-"), of("part_key").cast("string")),
+            "quantity": of("quantity"), "unit_of_measure": F.when(kind == 0, "BOX").when(kind == 1, "EA").otherwise("HR"),
+            "unit_price": of("unit_price"), "line_amount": of("line_amount"),
+            "tax_amount": (of("line_amount") * of("tax_rate")).cast("decimal(18,2)"), "category": of("category"),
+        }
+
+    @cached_property
+    def invoice_detail(self) -> DataFrame:
+        line = self._line(F.col)
+        names = ["invoice_detail_id", "invoice_id", "line_number", "item_description", "item_code", "quantity", "unit_of_measure",
+                 "unit_price", "line_amount", "tax_amount", "category"]
+        return self._lines_with_part.select(*[line.get(name, F.col(name)).alias(name) for name in names])
 
     @cached_property
     def _line_sum(self) -> DataFrame:
@@ -328,13 +345,14 @@ class Tables:
         An order with more than ``LINES_PER_DOCUMENT`` lines comes in parts, ranges of (line number, line id), so the
         rows are shuffled by order and part; the parts of an order are numbered from their counts alone. Tables without
         such orders are not joined with them.
+
+        What is a function of the part's key or of two amounts is made from them behind the shuffle.
         """
-        d = self.invoice_detail
+        d = self._lines_with_part
         row = F.struct(
-            "line_number", "invoice_detail_id", "item_description", "item_code", "quantity",
-            "unit_of_measure", "unit_price", "line_amount", "tax_amount", "category",
-        )
-        lines = F.sort_array(F.collect_list("row")).alias("lines")
+            "line_number", "invoice_detail_id", "item_description", "unit_price", "category", "part_key", "quantity", "line_amount", "tax_rate")
+        lines = F.transform(F.sort_array(F.collect_list("row")), lambda r: F.struct(
+            *[value.alias(name) for name, value in self._line(lambda name: r[name]).items()])).alias("lines")
 
         def whole(lines: DataFrame) -> DataFrame:
             return lines.select(
@@ -552,3 +570,19 @@ class Tables:
         for part in parts[1:]:
             out = out.unionByName(part)
         return out
+
+
+class Slice(Tables):
+    """The ``number``-th of ``count`` slices: its orders and their lines, all of the other tables."""
+
+    KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+    def __init__(self, spark: SparkSession, sf_dir: str, number: int, count: int):
+        super().__init__(spark, sf_dir)
+        self.number, self.count = number, count
+
+    def table(self, name: str) -> DataFrame:
+        df = super().table(name)
+        if name not in self.KEYS:
+            return df
+        return df.filter(F.pmod(F.xxhash64(F.col(self.KEYS[name]).cast("bigint")), F.lit(self.count)) == self.number)

@@ -15,7 +15,7 @@ from docflow.plans.fixtures import AS_OF, with_tables
 from docflow.plans.registry import query
 from docflow.plans.search import HIT, TEXT, one, scored
 from docflow.schemas import INVOICE, PARSED, RAW_JSON
-from docflow.session import scratch
+from docflow.session import PACKED, RELEASED, discard, scratch, settings
 from docflow.sources import batches, files as fs, tables as st
 from docflow.streaming import jobs
 
@@ -23,12 +23,17 @@ from docflow.streaming import jobs
 def feed(t, df, name: str, spread: bool = False) -> str:
     """A table written as files for a stream to find; ``spread``: as many as the cluster has cores."""
     path = scratch(t.spark, name)
-    (df.repartition(t.spark.sparkContext.defaultParallelism) if spread else df).write.parquet(path)
+    with settings(t.spark, RELEASED):
+        (df.repartition(t.spark.sparkContext.defaultParallelism) if spread else df).write.option("compression", PACKED).parquet(path)
     return path
 
 
 def landed(t) -> str:
-    return feed(t, st.conform(t.raw_json, RAW_JSON), "raw_json")
+    path = scratch(t.spark, "raw_json")
+    with settings(t.spark, RELEASED):
+        for part in t.slices():
+            st.conform(part.raw_json, RAW_JSON).write.mode("append").option("compression", PACKED).parquet(path)
+    return path
 
 
 def statements(t) -> str:
@@ -134,6 +139,7 @@ def _(t):
     base, path = scratch(t.spark, "t2"), landed(t)
     raw = st.stream_table(t.spark, path, RAW_JSON)
     jobs.run_once([lambda: jobs.start_parse_stream(raw, f"{base}/tables", f"{base}/checkpoint")])
+    discard(t.spark, path)
     return summary_of(t, f"{base}/tables")
 
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from docflow.session import store
+from docflow.session import PACKED, store
 
 MARK = "~"  # between the parts of a log file's name
 
@@ -103,7 +103,7 @@ def write_tables(spark: SparkSession, path: str, batch_id: int, **tables: DataFr
 
     def put(folder: str) -> list[str]:
         for name, df in tables.items():
-            df.write.parquet(f"{folder}/{name}")
+            df.write.option("compression", PACKED).parquet(f"{folder}/{name}")
         return list(tables)
 
     return write(spark, path, batch_id, put)
@@ -158,7 +158,7 @@ def roll_up_tables(spark: SparkSession, path: str, combine: dict[str, Callable[[
         names = sorted({name for x in parts for name in x.tables})
         for name in names:
             df = read_from(spark, path, parts, name)
-            (combine[name](df) if combine and name in combine else df).write.parquet(f"{folder}/{name}")
+            (combine[name](df) if combine and name in combine else df).write.option("compression", PACKED).parquet(f"{folder}/{name}")
         return names
 
     return roll_up(spark, path, merge, fan)

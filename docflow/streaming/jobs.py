@@ -16,7 +16,7 @@ from docflow.operators.normalize import parse_header, parse_lines
 from docflow.operators.quality import latest_invoices
 from docflow.operators.runlog import append_run_log, run_row
 from docflow.schemas import FILES, INVOICE, INVOICE_DETAIL, PARSED, RAW_JSON
-from docflow.session import written
+from docflow.session import PACKED, settings, written
 from docflow.sources import batches, numbers
 from docflow.sources.files import PDF, stream_documents, stream_files
 from docflow.sources.keys import dense_ids, reserve
@@ -50,15 +50,11 @@ def start_extract_stream(
     else:
         keyed = stream_documents(spark, files_dir, separator, pattern, max_files).withColumnRenamed("document_id", "extraction_id")
     raw = conform(extract_fields(keyed, "content", fields, worker).withColumn("extraction_timestamp", _now(as_of)), RAW_JSON)
-    before = spark.conf.get("parquet.block.size", None)
-    spark.conf.set("parquet.block.size", ROW_GROUP)  # the sink takes it from the session, of which the stream keeps a copy
-    try:
+    with settings(spark, {"parquet.block.size": str(ROW_GROUP)}):  # the sink takes it from the session
         return (
-            raw.writeStream.format("parquet").outputMode("append")
+            raw.writeStream.format("parquet").outputMode("append").option("compression", PACKED)
             .option("path", raw_path).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
         )
-    finally:
-        spark.conf.unset("parquet.block.size") if before is None else spark.conf.set("parquet.block.size", before)
 
 
 def start_landing_stream(
