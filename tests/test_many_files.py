@@ -33,3 +33,15 @@ def test_a_task_reads_many_small_files(spark, tmp_path):
 
 def test_a_task_lists_many_paths(tables):
     assert int(tables.spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 1000
+
+
+def test_pages_are_written_by_many_tasks_and_read_whole(spark, tmp_path, monkeypatch):
+    from docflow.plans import registry
+    from docflow.plans.fixtures import Tables
+
+    rows = [(i, f"<p>page {i}</p>") for i in range(64)]
+    spark.createDataFrame(rows, "page_id BIGINT, html STRING").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    monkeypatch.setattr(streams, "scratch", lambda spark, name: f"{tmp_path}/kept/{name}")
+    got = registry.load()["t3_document_stream"].run(Tables(spark, str(tmp_path))).collect()
+    assert {(r.page_id, r.extracted_text, r.processing_status) for r in got} == {(i, f"page {i}", "SUCCESS") for i in range(64)}
+    assert len(got) == 64 and len(os.listdir(tmp_path / "kept" / "pages")) >= 64
