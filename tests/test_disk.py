@@ -100,6 +100,14 @@ def test_equal_documents_are_dealt_evenly(spark, kept):
     assert [r["count"] for r in spark.read.parquet(spool).groupBy("file").count().collect()] == [2] * streams.FILES
 
 
+def test_a_file_for_each_number(spark, tables, kept):
+    spool = streams.deal(tables, str(kept / "spool"), "parquet")
+    streams.large_files(tables, spool, str(kept / "pair"), range(2))
+    assert len(glob.glob(f"{kept}/pair/part-*.txt")) == 2
+    found = spark.read.text(str(kept / "pair"), lineSep=streams.SEPARATOR)
+    assert found.count() == spark.read.parquet(spool).filter("file < 2").count()
+
+
 def test_rolled_up_batches_are_deleted_on_request(spark, tables, tmp_path):
     raw = conform(tables.raw_json, RAW_JSON).filter("extraction_id < 200")
     raw.repartition(4).write.parquet(f"{tmp_path}/raw")
